@@ -1,0 +1,20 @@
+"""Scalar function helpers shared by the library and the catalogue."""
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def fixed(col, digits: int = 2) -> Column:
+    """Round half-up at ``digits`` decimals as floor(x·10^d + 0.5)/10^d.
+
+    Unlike ``round`` (decimal-string based in Spark, binary in other
+    engines) this rounds the same binary double the same way everywhere,
+    so reports agree across engines."""
+    c = F.col(col) if isinstance(col, str) else col
+    s = float(10 ** digits)
+    return F.floor(c * F.lit(s) + F.lit(0.5)) / F.lit(s)
+
+
+def fixed_sql(expr: str, digits: int = 2) -> str:
+    s = 10 ** digits
+    return f"(floor(({expr}) * {s} + 0.5) / {s})"
