@@ -105,8 +105,7 @@ SELECT segment, CAST(sum(l_quantity) AS BIGINT) AS qty, count(DISTINCT o_orderke
 """)
 def _(spark, sf):
     d = order_documents(spark, sf)
-    schema = d.schema.simpleString().replace("struct<", "", 1)[:-1]
-    rt = d.select(F.to_json(F.struct("*")).alias("j")).select(F.from_json("j", schema).alias("d")).select("d.*")
+    rt = d.select(F.to_json(F.struct("*")).alias("j")).select(F.from_json("j", d.schema).alias("d")).select("d.*")
     flat = rt.select("o_orderkey", "customer.segment", F.explode("lines").alias("line"))
     return flat.groupBy("segment").agg(F.sum("line.qty").cast("bigint").alias("qty"),
                                        F.count_distinct("o_orderkey").alias("n_orders"))
