@@ -1,2 +1,155 @@
-"""Catalogue module (filled in below)."""
-from .registry import query  # noqa: F401
+"""Catalogue: Structured Streaming.
+
+Each query streams the ``events`` table through a file source
+(``availableNow``), drains it into a memory table and returns that table;
+the oracle is the equivalent batch SQL (stream result = batch result).
+Event times are TIMESTAMP_NTZ and are cast to TIMESTAMP for watermarks.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from ..functions import fixed
+from ..sources.tables import Tables
+from ..streaming import core as S
+from .registry import query
+
+
+def event_stream(spark, sf):
+    schema = Tables(spark, sf).events.schema
+    s = S.file_stream(spark, sf, schema, "parquet", glob="events.parquet")
+    return s.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def drain(df, mode="complete"):
+    return S.run_to_table(df, f"kestrel_{uuid.uuid4().hex[:10]}", mode)
+
+
+def fmt_window(col="window"):
+    return [F.date_format(f"{col}.start", "yyyy-MM-dd HH:mm:ss").alias("w_start"),
+            F.date_format(f"{col}.end", "yyyy-MM-dd HH:mm:ss").alias("w_end")]
+
+
+@query("stream_running_count_complete", "I1,I2,I12,I15,I20,A31", """
+SELECT event_type AS word, count(*) AS count FROM events GROUP BY 1
+""")
+def _(spark, sf):
+    words = S.split_words(event_stream(spark, sf).select("event_type", "ts"), "event_type", "ts")
+    return drain(S.running_counts(words, "word"))
+
+
+@query("stream_tumbling_window_counts", "I6,I15", """
+SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS w_start,
+       strftime(date_trunc('hour', ts) + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS w_end,
+       event_type, count(*) AS count
+FROM events GROUP BY 1, 2, 3
+""")
+def _(spark, sf):
+    out = drain(S.windowed_counts(event_stream(spark, sf), "ts", "1 hour", keys=["event_type"]))
+    return out.select(*fmt_window(), "event_type", "count")
+
+
+@query("stream_sliding_window_counts", "I4", """
+WITH w AS (SELECT date_trunc('hour', ts) AS s, event_type FROM events
+           UNION ALL SELECT date_trunc('hour', ts) - INTERVAL 1 HOUR AS s, event_type FROM events)
+SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS w_start, strftime(s + INTERVAL 2 HOUR, '%Y-%m-%d %H:%M:%S') AS w_end,
+       event_type, count(*) AS count FROM w GROUP BY 1, 2, 3
+""")
+def _(spark, sf):
+    out = drain(S.windowed_counts(event_stream(spark, sf), "ts", "2 hours", "1 hour", keys=["event_type"]))
+    return out.select(*fmt_window(), "event_type", "count")
+
+
+@query("stream_watermark_append_closed_windows", "I3,I5,I19,I15,A34", """
+WITH m AS (SELECT max(ts) - INTERVAL 6 HOUR AS wm FROM events)
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS w_start,
+       strftime(date_trunc('day', ts) + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS w_end,
+       event_type, count(*) AS count
+FROM events, m WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= m.wm GROUP BY 1, 2, 3
+""", note="append mode emits a window once the watermark (max event time - 6 h) passes its end")
+def _(spark, sf):
+    agg = S.windowed_counts(event_stream(spark, sf), "ts", "1 day", keys=["event_type"], watermark="6 hours")
+    return drain(agg, "append").select(*fmt_window(), "event_type", "count")
+
+
+@query("stream_symbol_window_aggregates", "I7,I8,I9,X4", """
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS w_start,
+       strftime(date_trunc('day', ts) + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS w_end,
+       user_id, count(*) AS total_qty, floor(sum(value) * 100 + 0.5) / 100 AS total_value,
+       floor(avg(value) * 10000 + 0.5) / 10000 AS avg_price, min(value) AS min_price, max(value) AS max_price
+FROM events GROUP BY 1, 2, 3
+""")
+def _(spark, sf):
+    e = event_stream(spark, sf).withColumn("qty", F.lit(1))
+    agg = S.symbol_aggregates(e, "user_id", "value", "qty", "value", ts="ts", size="1 day")
+    out = drain(agg)
+    return out.select(*fmt_window(), "user_id", F.col("total_qty").cast("bigint").alias("total_qty"),
+                      fixed("total_value", 2).alias("total_value"), fixed("avg_price", 4).alias("avg_price"),
+                      "min_price", "max_price")
+
+
+@query("stream_static_left_join_weighted", "C18,I11,B15", """
+SELECT e.event_type, COALESCE(round(c.c_acctbal), 0) AS freq, count(*) AS count,
+       COALESCE(round(c.c_acctbal), 0) * count(*) AS wtdfreq
+FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey
+GROUP BY 1, 2
+""")
+def _(spark, sf):
+    static = Tables(spark, sf).customer.select(F.col("c_custkey").alias("user_id"),
+                                               F.round("c_acctbal").alias("freq"))
+    j = S.join_static(event_stream(spark, sf).select("user_id", "event_type"), static, ["user_id"], {"freq": 0.0})
+    agg = j.groupBy("event_type", "freq").agg(F.count(F.lit(1)).alias("count")).withColumn(
+        "wtdfreq", F.col("freq") * F.col("count"))
+    return drain(agg)
+
+
+@query("stream_session_windows", "I13", """
+WITH o AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL
+                  OR ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) >= INTERVAL 2 HOUR THEN 1 ELSE 0 END AS nw,
+                  event_id FROM events),
+s AS (SELECT user_id, ts, sum(nw) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS sid FROM o)
+SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS s_start,
+       strftime(max(ts) + INTERVAL 2 HOUR, '%Y-%m-%d %H:%M:%S.%f') AS s_end, count(*) AS events
+FROM s GROUP BY user_id, sid
+""")
+def _(spark, sf):
+    out = drain(S.sessions(event_stream(spark, sf), "ts", "2 hours", ["user_id"]))
+    return out.select("user_id", F.date_format("session.start", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("s_start"),
+                      F.date_format("session.end", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("s_end"), "events")
+
+
+@query("stream_custom_state_per_key", "I14", """
+SELECT user_id, count(*) AS n, floor(sum(value) * 100 + 0.5) / 100 AS total,
+       strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_ts
+FROM events GROUP BY user_id
+""")
+def _(spark, sf):
+    st = S.stateful_totals(event_stream(spark, sf), ["user_id"], "ts", "value")
+    out = drain(st, "update")
+    # update mode appends one row per key per batch; the newest state wins
+    latest = out.groupBy("user_id").agg(F.max(F.struct("n", "total", "last_ts")).alias("s"))
+    return latest.select("user_id", F.col("s.n").alias("n"), fixed("s.total", 2).alias("total"),
+                         F.date_format("s.last_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_ts"))
+
+
+@query("stream_decode_payload_rekey", "I10,A35,A36,X17", """
+SELECT event_type AS key, event_type || ',' || CAST(count(*) AS VARCHAR) || ',' ||
+       CAST(floor(sum(value) * 100 + 0.5) / 100 AS VARCHAR) AS value, count(*) AS n_ok, 0 AS n_bad
+FROM events GROUP BY event_type
+""")
+def _(spark, sf):
+    e = event_stream(spark, sf)
+    payload = e.select(F.concat_ws(",", F.concat(F.lit("u"), F.col("user_id").cast("string")), "event_type",
+                                   F.col("value").cast("string")).alias("value"))
+    lines = S.replay_lines(payload.select(F.concat("value", F.lit(",")).alias("value")), "value", key_field=1)
+    dec = S.decode_delimited(lines, {"sym": (0, "string"), "kind": (1, "string"), "amount": (2, "double")})
+    agg = dec.groupBy("kind").agg(F.sum(F.when(F.col("ok"), 1).otherwise(0)).alias("n_ok"),
+                                  F.sum(F.when(F.col("ok"), 0).otherwise(1)).alias("n_bad"),
+                                  F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"))
+    out = drain(agg)
+    kv = S.as_key_value(out.withColumn("amount", fixed("amount", 2)), "kind", ["kind", "n", "amount"])
+    return kv.join(out.select(F.col("kind").alias("key"), F.col("n_ok").cast("bigint").alias("n_ok"),
+                              F.col("n_bad").cast("int").alias("n_bad")), "key")
