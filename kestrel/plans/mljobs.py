@@ -1,2 +1,71 @@
-"""Catalogue module (filled in below)."""
-from .registry import query  # noqa: F401
+"""Catalogue: ML jobs on embeddings and lineitem.
+Model outputs depend on MLlib's solvers, so most are rows-only; the class
+distribution / random-guess accuracy is SQL-checked."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import fixed
+from ..ml import jobs as ML
+from ..sources.tables import Tables
+from .registry import query
+
+
+def vectors(spark, sf):
+    return ML.embedding_features(Tables(spark, sf).embeddings)
+
+
+@query("kmeans_anomalies_top_distance", "L37,M1,M5,M6,M7,H29,F8", note="rows-only: k-means result")
+def _(spark, sf):
+    a = ML.anomalies(vectors(spark, sf), "features", k=8, top=20, max_iter=10)
+    return a.select("vec_id", "label", "cluster", F.round("distance", 6).alias("distance"), "rank")
+
+
+@query("kmeans_entropy_sweep", "L38,M8,M9,M10,D38", note="rows-only: one row per k")
+def _(spark, sf):
+    return ML.entropy_sweep(vectors(spark, sf), "features", "label", [2, 4, 8], max_iter=5)
+
+
+@query("class_distribution_random_guess", "L41,D37", """
+WITH c AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label),
+p AS (SELECT label, n, n / (SELECT count(*) FROM embeddings) AS p FROM c)
+SELECT label, n, floor(p * 1e9 + 0.5) / 1e9 AS p, floor((SELECT sum(p * p) FROM p) * 1e9 + 0.5) / 1e9 AS random_guess
+FROM p
+""")
+def _(spark, sf):
+    e = Tables(spark, sf).embeddings
+    dist = ML.class_distribution(e, "label")
+    acc = ML.random_guess_accuracy(e, e, "label")
+    return dist.crossJoin(acc).select("label", "n", fixed("p", 9).alias("p"), fixed("accuracy", 9).alias("random_guess"))
+
+
+@query("random_forest_tuned_confusion", "M4,M14,M16,M17,M18,M19,M20", note="rows-only: confusion matrix rows")
+def _(spark, sf):
+    from pyspark.ml.feature import VectorIndexer
+    v = vectors(spark, sf)
+    v = VectorIndexer(inputCol="features", outputCol="ifeatures", maxCategories=4).fit(v).transform(v)
+    model, tree, acc, f1, confusion = ML.tuned_forest(v, "ifeatures", "label")
+    return confusion
+
+
+@query("linear_regression_price", "M12,M13,M15", note="rows-only: one metrics row")
+def _(spark, sf):
+    li = Tables(spark, sf).lineitem
+    _, rmse, r2 = ML.linear_regression(li, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice")
+    return spark.createDataFrame([(float(rmse), float(r2))], "rmse double, r2 double")
+
+
+@query("als_recommend_and_auc", "L39,L40,M11,F11,C14", note="rows-only: ALS factors are solver-dependent")
+def _(spark, sf):
+    t = Tables(spark, sf)
+    o, li = t.orders, t.lineitem
+    ratings = (li.join(o, li.l_orderkey == o.o_orderkey)
+                 .groupBy(F.col("o_custkey").cast("int").alias("user"), F.col("l_partkey").cast("int").alias("item"))
+                 .agg(F.sum("l_quantity").alias("rating")))
+    train, test = ratings.randomSplit([0.9, 0.1], 7)
+    model = ML.als_implicit(train, "user", "item", "rating", rank=8, max_iter=5)
+    neg = ML.negative_samples(test, ratings.select("item"), "user", "item", per_user=5)
+    auc = ML.mean_auc(model, test, neg, "user", "item")
+    top = model.recommendForAllUsers(5).select("user", F.size("recommendations").alias("n_recs"))
+    return top.crossJoin(auc)
