@@ -34,7 +34,7 @@ def net_price(price: pd.Series, discount: pd.Series) -> pd.Series:
 
 
 # K4: struct in / struct out.
-@F.pandas_udf("name_len long, name_upper string")
+@F.pandas_udf(T.StructType([T.StructField("name_len", T.LongType()), T.StructField("name_upper", T.StringType())]))
 def describe_name(s: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"name_len": s["name"].str.len().astype("int64"),
                          "name_upper": s["name"].str.upper()})
