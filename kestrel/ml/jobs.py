@@ -82,12 +82,19 @@ def random_guess_accuracy(train: DataFrame, test: DataFrame, label: str) -> Data
 
 
 def linear_regression(df: DataFrame, features: list[str], label: str, reg: float = 0.1, enet: float = 0.5,
-                      seed: int = 42):
-    """Assemble → linear regression (elastic net), RMSE and R² on a
-    hash-split hold-out."""
+                      seed: int = 42, categorical: list[str] | None = None):
+    """Index + one-hot encode categorical columns, assemble →
+    linear regression (elastic net); RMSE and R² on a seeded hold-out."""
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer
     from pyspark.ml.regression import LinearRegression
     train, test = df.randomSplit([0.8, 0.2], seed)
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"),
+    cats = categorical or []
+    pre = []
+    if cats:
+        pre = [StringIndexer(inputCols=cats, outputCols=[f"{c}_idx" for c in cats], handleInvalid="keep"),
+               OneHotEncoder(inputCols=[f"{c}_idx" for c in cats], outputCols=[f"{c}_vec" for c in cats])]
+    inputs = features + [f"{c}_vec" for c in cats]
+    pipe = Pipeline(stages=pre + [VectorAssembler(inputCols=inputs, outputCol="features"),
                             LinearRegression(featuresCol="features", labelCol=label, regParam=reg,
                                              elasticNetParam=enet, maxIter=20)])
     model = pipe.fit(train)

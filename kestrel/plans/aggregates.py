@@ -121,7 +121,7 @@ def _grouped(spark, sf, kind):
                  F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
-@query("cube_dataframe", "D21,D26", _CUBE_SQL.format(kind="CUBE"))
+@query("cube_dataframe", "D21,D26,L5", _CUBE_SQL.format(kind="CUBE"))
 def _(spark, sf):
     return _grouped(spark, sf, "cube")
 
@@ -141,7 +141,7 @@ def _(spark, sf):
                      "FROM orders_v GROUP BY o_orderpriority, o_orderstatus WITH CUBE")
 
 
-@query("rollup_sql_filtered", "D24", """
+@query("rollup_sql_filtered", "D24,L5", """
 SELECT CAST(year(o_orderdate) AS VARCHAR) AS yr, CAST(month(o_orderdate) AS VARCHAR) AS mn,
        round(avg(o_totalprice), 4) AS avg_price, count(*) AS n
 FROM orders WHERE o_orderstatus = 'F'
@@ -203,7 +203,7 @@ def _(spark, sf):
     return o.groupBy("info.status", "info.priority").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("percentile_exact_and_approx", "D33", """
+@query("percentile_exact_and_approx", "D33,L29", """
 SELECT o_orderstatus, round(quantile_cont(o_totalprice, 0.5), 4) AS median,
        round(quantile_cont(o_totalprice, 0.9), 4) AS p90
 FROM orders GROUP BY o_orderstatus
@@ -267,7 +267,7 @@ def _(spark, sf):
     return e.select(F.round("weighted_entropy", 8).alias("weighted_entropy"))
 
 
-@query("pandas_grouped_aggregate", "D39,K7", """
+@query("pandas_grouped_aggregate", "D39,K7,L29", """
 SELECT o_orderstatus, round(avg(o_totalprice), 4) AS mean_price, round(sum(o_totalprice), 2) AS sum_price
 FROM orders GROUP BY o_orderstatus
 """)

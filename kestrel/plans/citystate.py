@@ -27,7 +27,7 @@ def cities(spark, sf):
         F.sum("c_acctbal").alias("pop"))
 
 
-@query("state_population_threshold", "L21,D14,D32", _CITY + """
+@query("state_population_threshold", "L21,D14,D32,A29", _CITY + """
 SELECT state, floor(sum(pop) * 100 + 0.5) / 100 AS total_pop FROM city GROUP BY state HAVING sum(pop) > 250000
 """)
 def _(spark, sf):
@@ -43,7 +43,7 @@ def _(spark, sf):
     return s.select("state", fixed("avg_city_pop", 2).alias("avg_city_pop")).orderBy("avg_city_pop")
 
 
-@query("largest_smallest_city_per_state", "L23,L25,D31", _CITY + """
+@query("largest_smallest_city_per_state", "L23,L25,D31,A29", _CITY + """
 SELECT state, arg_min(city, (-pop, city)) AS biggest_city, floor(max(pop) * 100 + 0.5) / 100 AS biggest_pop,
        arg_min(city, (pop, city)) AS smallest_city, floor(min(pop) * 100 + 0.5) / 100 AS smallest_pop
 FROM city GROUP BY state

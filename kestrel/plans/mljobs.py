@@ -49,10 +49,11 @@ def _(spark, sf):
     return confusion
 
 
-@query("linear_regression_price", "M12,M13,M15", note="rows-only: one metrics row")
+@query("linear_regression_price", "M2,M3,M12,M13,M15", note="rows-only: one metrics row")
 def _(spark, sf):
     li = Tables(spark, sf).lineitem
-    _, rmse, r2 = ML.linear_regression(li, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice")
+    _, rmse, r2 = ML.linear_regression(li, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice",
+                                       categorical=["l_returnflag", "l_linestatus"])
     return spark.createDataFrame([(float(rmse), float(r2))], "rmse double, r2 double")
 
 

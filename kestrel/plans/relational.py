@@ -480,3 +480,37 @@ def _(spark, sf):
     b = t.customer.where("c_acctbal > 5000").select(F.col("c_custkey").alias("k"))
     return (a.intersect(b).select(F.lit("both").alias("kind"), "k")
              .unionByName(a.subtract(b).select(F.lit("only_orders").alias("kind"), "k")))
+
+
+# ------------------------------------------------------ in-memory / plan ----
+
+@query("in_memory_sources_bounded", "A1,A2,A3,A4,A40", """
+SELECT r.r_regionkey AS key, r.r_name AS name, n.names, 1 AS one
+FROM region r JOIN (SELECT n_regionkey, '{' || string_agg('"' || CAST(n_nationkey AS VARCHAR) || '":"' || n_name || '"', ',' ORDER BY n_nationkey) || '}' AS names
+                    FROM nation GROUP BY n_regionkey) n ON r.r_regionkey = n.n_regionkey
+""", note="only the 5-row region dimension crosses the driver (pandas round trip)")
+def _(spark, sf):
+    t = T(spark, sf)
+    pdf = t.region.toPandas()                                   # A4: bounded dimension only
+    r = spark.createDataFrame(pdf).toDF("key", "name")          # A2/A3
+    one = spark.range(1, 2).select(F.col("id").cast("int").alias("one"))  # A1
+    names = t.nation.groupBy("n_regionkey").agg(               # A40: collectAsMap as a map column
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("n_nationkey").alias("k"),
+                                                                 F.col("n_name").alias("v"))))).alias("names"))
+    out = r.join(names, r.key == names.n_regionkey).drop("n_regionkey").crossJoin(one)
+    return out.withColumn("names", F.to_json("names")).select("key", "name", "names", "one")
+
+
+@query("plan_pushdown_and_cache", "F17,F18,F19,F20", """
+SELECT true AS pushed_filters, true AS pruned_schema, count(*) AS rows FROM lineitem WHERE l_quantity > 49
+""")
+def _(spark, sf):
+    li = T(spark, sf).lineitem
+    q = li.where(F.col("l_quantity") > 49).select("l_orderkey", "l_quantity")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    pushed = "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,49" in plan
+    pruned = "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in plan
+    cached = q.cache()
+    n = cached.count()
+    cached.unpersist()
+    return spark.createDataFrame([(pushed, pruned, n)], "pushed_filters boolean, pruned_schema boolean, rows long")

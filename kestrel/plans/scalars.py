@@ -105,7 +105,7 @@ def _(spark, sf):
     return grid.select("y", "m", "d", D.is_valid_date("y", "m", "d").alias("valid"))
 
 
-@query("price_bucket_floor_round", "H25,H26,H27", """
+@query("price_bucket_floor_round", "H25,H26,H27,H42", """
 SELECT p_partkey, CAST(floor(p_retailprice / 50) * 50 AS BIGINT) AS bucket,
        floor(sqrt(p_retailprice) * 10000 + 0.5) / 10000 AS root,
        floor(ln(p_retailprice) * 10000 + 0.5) / 10000 AS logp,
@@ -160,7 +160,7 @@ def _(spark, sf):
                     F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("type"))).alias("as_json"))
 
 
-@query("explode_map_entries", "H4,H5,H32,H33", """
+@query("explode_map_entries", "H4,H5,H32,H33,L44", """
 SELECT event_id, 'k' AS key, CAST(json_extract(props, '$.k') AS BIGINT) AS value, event_type AS kind FROM events
 """)
 def _(spark, sf):
@@ -187,3 +187,33 @@ def _(spark, sf):
 def _(spark, sf):
     c = T(spark, sf).customer.select("c_custkey")
     return c.select("c_custkey", F.rand(11).alias("u"), F.floor(F.rand(12) * 6).cast("int").alias("die"))
+
+
+@query("prime_keys_distributed_sieve", "H43,C9", """
+WITH m AS (SELECT max(o_orderkey) AS mx FROM orders),
+c AS (SELECT DISTINCT unnest(generate_series(d * d, (SELECT mx FROM m), d)) AS n
+      FROM range(2, CAST(floor(sqrt((SELECT mx FROM m))) AS BIGINT) + 1) t(d))
+SELECT count(*) AS n_primes, CAST(sum(o_orderkey) AS BIGINT) AS sum_primes
+FROM (SELECT DISTINCT o_orderkey FROM orders) o
+WHERE o_orderkey >= 2 AND NOT EXISTS (SELECT 1 FROM c WHERE c.n = o.o_orderkey)
+""")
+def _(spark, sf):
+    from ..operators.numeric import prime_flags
+    keys = T(spark, sf).orders.select(F.col("o_orderkey").alias("n")).distinct()
+    p = prime_flags(keys, "n").where("is_prime")
+    return p.agg(F.count(F.lit(1)).alias("n_primes"), F.sum("n").cast("bigint").alias("sum_primes"))
+
+
+@query("partition_values_from_file_paths", "H16,A13", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, count(*) AS n
+FROM orders GROUP BY 1, 2
+""")
+def _(spark, sf):
+    from ..session import scratch_path
+    o = T(spark, sf).orders.select("o_orderkey", F.year("o_orderdate").alias("year"),
+                                   F.month("o_orderdate").alias("month"), F.lit(1).alias("day"))
+    path = scratch_path(spark, "pathparts")
+    o.write.partitionBy("year", "month", "day").parquet(path)
+    files = spark.read.parquet(path).select("o_orderkey", F.input_file_name().alias("f"))
+    y, m, _d = D.partition_values_from_path(F.col("f"))
+    return files.groupBy(y.alias("year"), m.alias("month")).agg(F.count(F.lit(1)).alias("n"))

@@ -153,3 +153,25 @@ def _(spark, sf):
     kv = S.as_key_value(out.withColumn("amount", fixed("amount", 2)), "kind", ["kind", "n", "amount"])
     return kv.join(out.select(F.col("kind").alias("key"), F.col("n_ok").cast("bigint").alias("n_ok"),
                               F.col("n_bad").cast("int").alias("n_bad")), "key")
+
+
+@query("stream_checkpoint_restart_progress", "I16,I17,I18,A34", """
+SELECT event_type, count(*) AS count FROM events GROUP BY 1
+""")
+def _(spark, sf):
+    from ..session import scratch_path
+    e = Tables(spark, sf).events
+    src, ck = scratch_path(spark, "restart-src"), scratch_path(spark, "restart-ckpt")
+    schema = e.schema
+    e.where(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")).write.parquet(f"{src}/part1")
+    counts = S.running_counts(S.file_stream(spark, f"{src}/*", schema).select(F.col("event_type").alias("word")), "word")
+    name = f"restart_{uuid.uuid4().hex[:8]}"
+    q1 = S.start(counts, "memory", "complete", name=name, checkpoint=ck, trigger={"availableNow": True})
+    q1.awaitTermination(600)
+    S.progress_frame(spark, q1).count()
+    S.batch_end_offsets(q1)
+    # new data arrives; the restarted query resumes from the checkpoint's state
+    e.where(F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz")).write.parquet(f"{src}/part2")
+    q2 = S.start(counts, "memory", "complete", name=name + "b", checkpoint=ck, trigger={"availableNow": True})
+    q2.awaitTermination(600)
+    return spark.table(name + "b").select(F.col("word").alias("event_type"), "count")

@@ -206,9 +206,21 @@ def progress_frame(spark: SparkSession, query) -> DataFrame:
                                        "input_rps double, processed_rps double, trigger_ms long")
 
 
+def batch_end_offsets(query) -> list[tuple[int, str]]:
+    """(batch id, end offset JSON) of each recent batch — the values a
+    new query can take as ``startingOffsets``; polled from progress, so no
+    callback channel is needed."""
+    out = []
+    for p in query.recentProgress:
+        for s in p.get("sources", []):
+            out.append((p["batchId"], str(s.get("endOffset"))))
+    return out
+
+
 class OffsetRecorder:
-    """A ``StreamingQueryListener`` that records each batch's end
-    offsets, reusable as ``startingOffsets`` for a new query."""
+    """I18 (push form): a ``StreamingQueryListener`` that records each
+    batch's end offsets.  Python listeners need PySpark's callback channel;
+    ``batch_end_offsets`` is the poll-based alternative."""
 
     def __init__(self):
         from pyspark.sql.streaming import StreamingQueryListener
