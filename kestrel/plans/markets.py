@@ -63,9 +63,9 @@ def put_call_ratio_job(spark, sf):
 
 @query("put_call_pivot_table", "D27,D28", _FO_SQL + """
 SELECT SYMBOL, strftime(EXPIRY_DT, '%Y-%m-%d') AS EXPIRY_DT,
-       CAST(sum(CASE WHEN OPTION_TYP = 'XX' THEN CONTRACTS END) AS BIGINT) AS XX,
-       CAST(sum(CASE WHEN OPTION_TYP = 'PE' THEN CONTRACTS END) AS BIGINT) AS PE,
-       CAST(sum(CASE WHEN OPTION_TYP = 'CE' THEN CONTRACTS END) AS BIGINT) AS CE,
+       sum(CASE WHEN OPTION_TYP = 'XX' THEN CONTRACTS END) AS XX,
+       sum(CASE WHEN OPTION_TYP = 'PE' THEN CONTRACTS END) AS PE,
+       sum(CASE WHEN OPTION_TYP = 'CE' THEN CONTRACTS END) AS CE,
        round(sum(CASE WHEN OPTION_TYP = 'PE' THEN CONTRACTS END) / NULLIF(sum(CASE WHEN OPTION_TYP = 'CE' THEN CONTRACTS END), 0), 6) AS PCR
 FROM fo WHERE INSTRUMENT <> 'FUTSTK' GROUP BY 1, 2
 """)
@@ -73,7 +73,7 @@ def _(spark, sf):
     fo = fo_standin(spark, sf)
     p = M.pcr_pivot(fo, ["SYMBOL", "EXPIRY_DT"])
     return p.select("SYMBOL", F.date_format("EXPIRY_DT", "yyyy-MM-dd").alias("EXPIRY_DT"),
-                    *[F.col(c).cast("bigint").alias(c) for c in M.OPTION_TYPES], F.round("PCR", 6).alias("PCR"))
+                    *[F.col(c).alias(c) for c in M.OPTION_TYPES], F.round("PCR", 6).alias("PCR"))
 
 
 _DAILY_SQL = _FO_SQL + """,

@@ -20,7 +20,7 @@ def T(spark, sf):
 @query("array_item_by_position", "H2,H41,I10", """
 SELECT event_id, string_split(props, '"')[2] AS key_name,
        TRY_CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k_value,
-       TRY_CAST(string_split(props, ' ')[5] AS BIGINT) AS missing_field
+       CAST(TRY_CAST(string_split(props, ' ')[5] AS BIGINT) AS VARCHAR) AS missing_field
 FROM events
 """)
 def _(spark, sf):
@@ -28,7 +28,7 @@ def _(spark, sf):
     parts = F.split("props", '"')
     return e.select("event_id", F.get(parts, 1).alias("key_name"),
                     F.regexp_extract("props", "([0-9]+)", 1).try_cast("bigint").alias("k_value"),
-                    F.get(F.split("props", " "), 4).try_cast("bigint").alias("missing_field"))
+                    F.get(F.split("props", " "), 4).try_cast("bigint").cast("string").alias("missing_field"))
 
 
 @query("regex_extract_and_replace", "H9,H12,H15", """

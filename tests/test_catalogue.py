@@ -21,10 +21,11 @@ def con():
 
 def _canon(pdf):
     import math
+    import pandas as pd
     cols = sorted(pdf.columns)
 
     def norm(v):
-        if v is None:
+        if v is None or v is pd.NA:
             return None
         if hasattr(v, "item"):
             v = v.item()
