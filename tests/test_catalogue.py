@@ -27,12 +27,12 @@ def _canon(pdf):
     def norm(v):
         if v is None or v is pd.NA:
             return None
+        if isinstance(v, (list, tuple)) or (hasattr(v, "tolist") and getattr(v, "ndim", 0) > 0):
+            return tuple(norm(x) for x in list(v))
         if hasattr(v, "item"):
             v = v.item()
         if isinstance(v, float):
             return None if math.isnan(v) else round(v, 6)
-        if isinstance(v, (list, tuple)) or hasattr(v, "tolist"):
-            return tuple(norm(x) for x in list(v))
         return v
 
     return cols, sorted((tuple(norm(v) for v in r) for r in pdf[cols].itertuples(index=False)), key=repr)
