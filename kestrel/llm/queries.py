@@ -6,12 +6,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import jaccard
+from . import jaccard, packing, substring, warc
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op3_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack(load(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json")))
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_ngram_jaccard,)}
-ORACLE_SQL: dict[str, str] = {}
+def op5_warc_chunk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.roundtrip(load(spark, sf_dir, "pages"))
+
+
+def op6_seed_and_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(load(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op3_sum_of_squares_packing, op4_ngram_jaccard, op5_warc_chunk_table,
+                                  op6_seed_and_extend)}
+
+_OP5_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS sha FROM pages),
+f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h)
+SELECT p.page_id, strlen(p.h)::BIGINT AS payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((('0x' || substr(p.sha, (5 * (i // 4) + 1)::BIGINT, 5))::INT // [32768, 1024, 32, 1][i % 4 + 1]) % 32 + 1)::BIGINT,
+           1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN p.page_id = f.first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN p.page_id <> f.first THEN f.first END AS refers_to
+FROM p JOIN f USING (h)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op5_warc_chunk_table": _OP5_SQL}
