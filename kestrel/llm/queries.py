@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import jaccard, packing, substring, warc
+from . import jaccard, packing, substring, tiling, warc, wordpiece
 
 
 def tokenizer_file(name: str) -> str:
@@ -30,8 +30,16 @@ def op6_seed_and_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(load(spark, sf_dir, "documents"))
 
 
+def op8_longest_match_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordpiece.token_counts(load(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"))
+
+
+def op9_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.contaminated(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark")).drop("tiles")
+
+
 QUERIES = {f.__name__: f for f in (op3_sum_of_squares_packing, op4_ngram_jaccard, op5_warc_chunk_table,
-                                  op6_seed_and_extend)}
+                                  op6_seed_and_extend, op8_longest_match_tokens, op9_string_tiling)}
 
 _OP5_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS sha FROM pages),
