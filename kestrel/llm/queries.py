@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import jaccard, packing, substring, tiling, warc, wordpiece
+from . import jaccard, line_quality, packing, substring, tiling, warc, wordpiece
 
 
 def tokenizer_file(name: str) -> str:
@@ -30,6 +30,10 @@ def op6_seed_and_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(load(spark, sf_dir, "documents"))
 
 
+def op7_line_labelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.judged(load(spark, sf_dir, "documents"))
+
+
 def op8_longest_match_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.token_counts(load(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"))
 
@@ -39,7 +43,8 @@ def op9_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op3_sum_of_squares_packing, op4_ngram_jaccard, op5_warc_chunk_table,
-                                  op6_seed_and_extend, op8_longest_match_tokens, op9_string_tiling)}
+                                  op6_seed_and_extend, op7_line_labelling,
+                                  op8_longest_match_tokens, op9_string_tiling)}
 
 _OP5_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS sha FROM pages),
