@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import jaccard, line_quality, packing, substring, tiling, warc, wordpiece
+from . import jaccard, line_align, line_quality, nbsvm, packing, pii, substring, tiling, warc, wordpiece
 
 
 def tokenizer_file(name: str) -> str:
@@ -14,6 +14,16 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_patience_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_align.without_repeated_lines(load(spark, sf_dir, "documents").select("doc_id", "text"),
+                                            removed_col="n_removed")
+    return out.select("doc_id", "n_removed", F.sha2("text", 256).alias("kept_sha256"), F.length("text").alias("kept_chars"))
+
+
+def op2_shape_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.found(load(spark, sf_dir, "documents")))
+
+
 def op3_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(load(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json")))
 
@@ -42,9 +52,14 @@ def op9_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.contaminated(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark")).drop("tiles")
 
 
-QUERIES = {f.__name__: f for f in (op3_sum_of_squares_packing, op4_ngram_jaccard, op5_warc_chunk_table,
+def op10_nb_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return nbsvm.scored(docs, nbsvm.train(docs, load(spark, sf_dir, "labels")))
+
+
+QUERIES = {f.__name__: f for f in (op1_patience_alignment, op2_shape_crf, op3_sum_of_squares_packing, op4_ngram_jaccard, op5_warc_chunk_table,
                                   op6_seed_and_extend, op7_line_labelling,
-                                  op8_longest_match_tokens, op9_string_tiling)}
+                                  op8_longest_match_tokens, op9_string_tiling, op10_nb_svm)}
 
 _OP5_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS sha FROM pages),
