@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from .components import connected
 from .tables import emit, gathered, group_starts, stored, width
+from .texts import expand, packed, unpacked
 from .words import chunks, document_sets, mix, signed, split_words
 
 LOW_SHARE = 0.3
@@ -113,12 +114,15 @@ def _frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _whole_sets(k: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lo, hi, row, size, sid, bound, value in _sets(b.column(1), k):
-                yield from emit(["sid", "first", "n", "tokens"],
-                                [signed(sid), b.column(0).slice(lo, hi - lo), size.astype(np.int64),
-                                 pa.array([value[bound[i]:bound[i + 1]].tobytes() for i in range(hi - lo)],
-                                          pa.binary())], rows=2048)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                b = whole.slice(at, 512)
+                texts = pa.array([expand(x) for x in b.column(1).to_pylist()], pa.binary()).cast(pa.string())
+                for lo, hi, row, size, sid, bound, value in _sets(texts, k):
+                    tokens = [value[bound[i]:bound[i + 1]].tobytes() for i in range(hi - lo)]
+                    yield from emit(["sid", "first", "n", "tokens"],
+                                    [signed(sid), b.column(0).slice(lo, hi - lo), size.astype(np.int64),
+                                     pa.array(tokens, pa.binary())], rows=2048)
     return run
 
 
@@ -241,7 +245,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # a class whose rows all lack an id is found by its text, through the null-safe join
     wanted = able.select(F.col("first").alias("__first")).distinct()
-    sets = stored(src.join(wanted, src.doc_id.eqNullSafe(F.col("__first")), "left_semi")
+    texts = packed(src, "text")
+    sets = stored(texts.join(wanted, texts.doc_id.eqNullSafe(F.col("__first")), "left_semi")
                   .select("doc_id", "text")
                   .mapInArrow(_whole_sets(k), "sid long, first long, n long, tokens binary")
                   .join(able.select("sid"), "sid", "left_semi")
@@ -308,6 +313,6 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = near_duplicates(docs, id_col, text_col, k, percent)
     keep = found.where("component_id = doc_id").select(F.col("doc_id").alias(id_col)).distinct()
     cols = docs.columns
-    return (docs.where(F.col(id_col).isNotNull()).join(keep, id_col, "left_semi").select(*cols)
-            .dropDuplicates([id_col])
-            .unionByName(docs.where(F.col(id_col).isNull())))
+    some = packed(docs.where(F.col(id_col).isNotNull()), text_col)
+    some = some.join(keep, id_col, "left_semi").dropDuplicates([id_col])
+    return unpacked(some, text_col).select(*cols).unionByName(docs.where(F.col(id_col).isNull()))

@@ -24,9 +24,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from .tables import stored
+from .texts import expand, squeeze
 from .words import SEPARATOR, chunks, hash_spans, signed
 
 MIN_LINES = 2
@@ -183,15 +184,17 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def _rebuild(names: list[str], text_col: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (x.slice(lo, 512) for x in batches for lo in range(0, x.num_rows, 512)):
             texts, counts = [], []
-            for text, lines in zip(b.column(text_col), b.column("__lines")):
+            for data, lines in zip(b.column(text_col), b.column("__lines")):
+                text = expand(data.as_py())
+                text = None if text is None else text.decode()
                 if not lines.is_valid:
-                    texts.append(text.as_py())
+                    texts.append(text)
                     counts.append(0)
                     continue
                 gone = set(lines.as_py())
-                texts.append("\n".join(x for i, x in enumerate(text.as_py().split("\n")) if i not in gone))
+                texts.append("\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone))
                 counts.append(len(gone))
             cols = [pa.array(texts, pa.string()) if n == text_col else b.column(n) for n in names]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(counts, pa.int64())], [*names, "__removed"])
@@ -199,12 +202,15 @@ def _rebuild(names: list[str], text_col: str):
 
 
 def _text_keys(names: list[str], text_col: str):
+    """The rows with their texts as compressed bytes, and the texts' hashes."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keys = [hash_spans(buf, offset[:-1], offset[1:])
-                    for _, _, buf, offset in chunks(b.column(names.index(text_col)))]
-            key = signed(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(key, pa.int64())], [*names, "__key"])
+        at = names.index(text_col)
+        for b in (x.slice(lo, 512) for x in batches for lo in range(0, x.num_rows, 512)):
+            keys = [hash_spans(buf, offset[:-1], offset[1:]) for _, _, buf, offset in chunks(b.column(at))]
+            cols = list(b.columns)
+            cols[at] = pa.array([squeeze(x) for x in cols[at].to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(signed(np.concatenate(keys)), pa.int64())],
+                                             [*names, "__key"])
     return run
 
 
@@ -222,7 +228,8 @@ def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: st
     found = stored(repeated_lines(docs, id_col, text_col, min_lines, min_chars), "repeated-lines")
     found = found.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text"), F.col("lines").alias("__lines"))
     fields = docs.schema.fields
-    keyed = docs.mapInArrow(_text_keys(names, text_col), StructType([*fields, StructField("__key", LongType())]))
+    moved = [StructField(f.name, BinaryType()) if f.name == text_col else f for f in fields]
+    keyed = docs.mapInArrow(_text_keys(names, text_col), StructType([*moved, StructField("__key", LongType())]))
     out = (keyed.join(found, (F.col(id_col).cast("long") == F.col("__id")) & (F.col("__key") == F.col("__text")), "left")
            .select(*names, "__lines")
            .mapInArrow(_rebuild(names, text_col), StructType([*fields, StructField("__removed", LongType())])))
