@@ -172,8 +172,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                                                   ).alias("x")))
     pairs = stored(runs.select(F.col("doc_id").alias("later"), "text_key", F.col("x.owner").alias("owner")).distinct(),
                    "line-pairs")
-    owned = (table.select(F.col("doc_id").alias("owner"), F.col("line").alias("owned"))
-             .join(pairs.select("owner").distinct(), "owner", "left_semi"))
+    owned = table.select(F.col("doc_id").alias("owner"), F.col("line").alias("owned"))
     aligned = (pairs.join(table.withColumnRenamed("doc_id", "later"), ["later", "text_key"])
                .join(owned, "owner")
                .select("later", "text_key", "line", "number", "chars", "owned")
@@ -230,7 +229,8 @@ def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: st
     fields = docs.schema.fields
     moved = [StructField(f.name, BinaryType()) if f.name == text_col else f for f in fields]
     keyed = docs.mapInArrow(_text_keys(names, text_col), StructType([*moved, StructField("__key", LongType())]))
-    out = (keyed.join(found, (F.col(id_col).cast("long") == F.col("__id")) & (F.col("__key") == F.col("__text")), "left")
+    # sorted and merged at every size: the texts move once, whatever the size of ``found``
+    out = (keyed.join(found.hint("merge"), (F.col(id_col).cast("long") == F.col("__id")) & (F.col("__key") == F.col("__text")), "left")
            .select(*names, "__lines")
            .mapInArrow(_rebuild(names, text_col), StructType([*fields, StructField("__removed", LongType())])))
     return out.withColumnRenamed("__removed", removed_col) if removed_col else out.drop("__removed")
