@@ -23,9 +23,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_000_000      # about 220 MB in a worker when full
 _ODD = re.compile("[\x1c-\x1f\x01]")      # white space to Python only, and the border below
-_POINT = re.compile(r"(?<=[^\W_])([.,])(?=\s|\Z)")
+_PLAIN = re.compile("[^\x01\x1c-\x1f\u0130-\U0010ffff]*\\Z")
+_POINT = re.compile("(?<=[a-z0-9\xdf-\xf6\xf8-\u012f])([.,])(?=\\s|\\Z)")
 _BORDER = "\x01"
 
 
@@ -35,9 +36,9 @@ class WordCacheEncoder:
     The tokenizer treats white space as a hard border, so ids of a text are the
     ids of its white-space chunks in a row; likewise a single point or comma
     after a letter or digit is a token border of its own.  Each distinct chunk
-    is encoded once by the tokenizer, in bulk with a border character between
-    chunks; the cache is cut back to short words when it is full.  Texts below
-    U+0130 are put in lower case first, as the tokenizer would do; there this
+    is encoded once by the tokenizer, in bulk: chunks of letters are told apart by
+    the end-of-word pieces, others by a border character between them.  The cache
+    is cut back to short words when it is full.  Texts below U+0130 are put in lower case first, as the tokenizer would do; there this
     changes no character count and there are no combining marks.  Python's
     ``split`` also cuts at U+001C-U+001F, which the tokenizer does not: texts
     with those characters, or with the border, are encoded whole.
@@ -48,42 +49,68 @@ class WordCacheEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.border, = self.tokenizer.encode(_BORDER, add_special_tokens=False).ids
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self.cache: dict[str, bytes] = {}
 
-    def _chunk_ids(self, words: list[str]) -> list[bytes]:
-        """Ids of chunks without white space, each followed by the border."""
-        between = f" {_BORDER} "
-        texts = [between.join(words[i:i + 64]) + between for i in range(0, len(words), 64)]
-        out: list[bytes] = []
-        for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+    def _add(self, words: list[str], between: str, cut) -> None:
+        """Encode chunks in texts of 64; ``cut`` gives, of a text's ids, where
+        each chunk ends and where the next begins."""
+        groups = [words[i:i + 64] for i in range(0, len(words), 64)]
+        texts = [between.join(g) + between for g in groups]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(e.ids, "<u4")
+            ends, nexts = cut(ids)
+            if len(ends) != len(group):
+                raise ValueError("the tokenizer doesn't cut chunks as expected")
             raw, a = ids.tobytes(), 0
-            for z in np.flatnonzero(ids == self.border).tolist():
-                out.append(raw[4 * a:4 * z])
-                a = z + 1
-        return out
+            for word, z, b in zip(group, ends.tolist(), nexts.tolist()):
+                self.cache[word] = raw[4 * a:4 * z]
+                a = b
+
+    def _learn(self, words: list[str]) -> None:
+        letters = [w for w in words if w.isalpha() and max(w) < "\u0130"]
+        others = list(set(words).difference(letters))
+
+        def at_last(ids):
+            z = np.flatnonzero(self.last[ids]) + 1
+            return z, z
+
+        def at_border(ids):
+            z = np.flatnonzero(ids == self.border)
+            return z, z + 1
+
+        self._add(letters, " ", at_last)
+        self._add(others, f" {_BORDER} ", at_border)
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     @staticmethod
     def _parts(text: str) -> list[str] | None:
-        if _ODD.search(text):
-            return None
-        if text.isascii() or max(text) < "\u0130":
-            text = _POINT.sub(r" \1", text.lower())
-        return text.split()
+        if _PLAIN.match(text):
+            return _POINT.sub(r" \1", text.lower()).split()
+        return None if _ODD.search(text) else text.split()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [self._parts(t) for t in texts]
-        words = set().union(*(p for p in parts if p is not None))
-        missing = list(words.difference(self.cache))
+        out: list[bytes | None] = [None] * len(texts)
+        missing: set[str] = set()
+        for i, p in enumerate(parts):
+            if p is None:
+                out[i] = self._ids(texts[i])
+                continue
+            try:
+                out[i] = b"".join(map(self.cache.__getitem__, p))
+            except KeyError:
+                missing.update([w for w in p if w not in self.cache])
         if len(self.cache) + len(missing) > CACHE_WORDS:
             self.cache = {w: x for w, x in self.cache.items() if len(w) <= 6}
-            missing = list(words.difference(self.cache))
-        self.cache.update(zip(missing, self._chunk_ids(missing)))
+            missing = set().union(*(p for p, o in zip(parts, out) if o is None)).difference(self.cache)
+        self._learn(list(missing))
         get = self.cache.__getitem__
-        return [self._ids(t) if p is None else b"".join(map(get, p)) for t, p in zip(texts, parts)]
+        return [b"".join(map(get, p)) if o is None else o for p, o in zip(parts, out)]
 
 
 _ENCODERS: dict[str, WordCacheEncoder] = {}
