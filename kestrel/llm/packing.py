@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE_WORDS = 1_000_000      # about 220 MB in a worker when full
+CACHE_WORDS = 400_000      # about 90 MB in a worker when full
 _ODD = re.compile("[\x1c-\x1f\x01]")      # white space to Python only, and the border below
 _PLAIN = re.compile("[^\x01\x1c-\x1f\u0130-\U0010ffff]*\\Z")
 _POINT = re.compile("(?<=[a-z0-9\xdf-\xf6\xf8-\u012f])([.,])(?=\\s|\\Z)")
@@ -93,6 +93,10 @@ class WordCacheEncoder:
             return _POINT.sub(r" \1", text.lower()).split()
         return None if _ODD.search(text) else text.split()
 
+    def shrink(self) -> None:
+        """Keep the short words, which come again most often."""
+        self.cache = {w: x for w, x in self.cache.items() if len(w) <= 6}
+
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [self._parts(t) for t in texts]
         out: list[bytes | None] = [None] * len(texts)
@@ -106,7 +110,7 @@ class WordCacheEncoder:
             except KeyError:
                 missing.update([w for w in p if w not in self.cache])
         if len(self.cache) + len(missing) > CACHE_WORDS:
-            self.cache = {w: x for w, x in self.cache.items() if len(w) <= 6}
+            self.shrink()
             missing = set().union(*(p for p, o in zip(parts, out) if o is None)).difference(self.cache)
         self._learn(list(missing))
         get = self.cache.__getitem__
@@ -117,7 +121,7 @@ _ENCODERS: dict[str, WordCacheEncoder] = {}
 
 
 def encoder_of(path: str) -> WordCacheEncoder:
-    """One encoder, with its cache, for all tasks of a worker."""
+    """One encoder for all tasks of a worker; between them it keeps the short words."""
     if path not in _ENCODERS:
         _ENCODERS[path] = WordCacheEncoder(path)
     return _ENCODERS[path]
@@ -240,6 +244,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
                         done += _cut(levels.drain(), capacity)
                     if len(done) >= 1024:
                         yield rows()
+        encoder.shrink()
         done += _cut(levels.drain(), capacity)
         if done:
             yield rows()

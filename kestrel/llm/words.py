@@ -15,8 +15,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 2 << 20          # text bytes handled at once
-_BLOCK = 1 << 20         # bytes hashed at once
+CHUNK = 1 << 20          # text bytes handled at once
+_BLOCK = 1 << 19         # bytes hashed at once
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 SEPARATOR = np.zeros(256, bool)
