@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected
-from .tables import emit, gathered, group_starts, stored, width
+from .tables import emit, gathered, group_starts, source, stored, width
 from .texts import expand, packed, unpacked
 from .words import chunks, document_sets, mix, signed, split_words
 
@@ -228,7 +228,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     a group, and alone has a null component.  Other columns are not looked at.
     """
     spark = docs.sparkSession
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = source(docs, id_col, text_col)
     stats = stored(src.mapInArrow(_stats(k), "doc_id long, n long, low long, sid long"), "shingle-stats")
     classes = stored(stats.where("n > 0").groupBy("sid").agg(
         F.min("doc_id").alias("first"), F.min("n").alias("n"), F.min("low").alias("low")), "shingle-classes")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from .tables import stored
+from .tables import bounded_batches, source, stored
 from .texts import expand, squeeze
 from .words import SEPARATOR, chunks, hash_spans, signed
 
@@ -147,7 +147,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS) -> DataFrame:
     """(``doc_id``, ``text_key``, ``lines``): the numbers of the lines that each
     document loses; ``text_key`` is the hash of its text."""
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = source(docs, id_col, text_col)
     table = stored(src.where("doc_id is not null").mapInArrow(
         _line_table, "doc_id long, text_key long, line array<long>, number array<int>, chars array<int>")
         .where("size(line) > 0"), "lines")
@@ -223,6 +223,7 @@ def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: st
     stay as they are and own nothing.  Rows of one id never lose lines to each
     other and come out as often as they went in.  Lines of white space only are
     not compared and never deleted."""
+    bounded_batches(docs.sparkSession)
     names = docs.columns
     found = stored(repeated_lines(docs, id_col, text_col, min_lines, min_chars), "repeated-lines")
     found = found.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text"), F.col("lines").alias("__lines"))

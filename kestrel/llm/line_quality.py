@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .crf import Chain, train
 from .line_labels import DOCUMENTS
-from .tables import emit, group_starts
+from .tables import bounded_batches, emit, group_starts, source
 from .words import Words, chunks, hash_spans, shingle_hashes, split_words, text_bytes
 
 MIN_WORDS = 50
@@ -161,13 +161,14 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             for lo, hi, cols in _measures(b.column(1), model):
                 yield from emit(["doc_id", *_NAMES], [b.column(0).slice(lo, hi - lo), *cols])
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = source(docs, id_col, text_col)
     return src.mapInArrow(run, f"doc_id long, {_SCHEMA}")
 
 
 def keep_content(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that the rules or the line model reject, in one
     pass without a shuffle."""
+    bounded_batches(docs.sparkSession)
     model, names = line_model(), docs.columns
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

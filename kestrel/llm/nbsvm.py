@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import crc32_mod, emit
+from .tables import crc32_mod, emit, source
 from .words import chunks, mix, split_words
 
 BITS = 18
@@ -212,7 +212,7 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 yield from emit(["doc_id", "score"], [b.column(0).slice(lo, hi - lo),
                                                       shared.value.scores(row, feature, hi - lo)])
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = source(docs, id_col, text_col)
     return src.mapInArrow(run, "doc_id long, score double").select(
         "doc_id", F.coalesce(crc32_mod(F.col("doc_id"), FOLDS) == 0, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

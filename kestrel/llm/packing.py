@@ -23,7 +23,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE_WORDS = 400_000      # about 90 MB in a worker when full
+from .tables import source
+
+CACHE_WORDS = 300_000      # about 70 MB in a worker when full
 _ODD = re.compile("[\x1c-\x1f\x01]")      # white space to Python only, and the border below
 _PLAIN = re.compile("[^\x01\x1c-\x1f\u0130-\U0010ffff]*\\Z")
 _POINT = re.compile("(?<=[a-z0-9\xdf-\xf6\xf8-\u012f])([.,])(?=\\s|\\Z)")
@@ -242,14 +244,14 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
                             done.append(full)
                     if levels.open >= max_open:
                         done += _cut(levels.drain(), capacity)
-                    if len(done) >= 1024:
+                    if len(done) >= 256:
                         yield rows()
         encoder.shrink()
         done += _cut(levels.drain(), capacity)
         if done:
             yield rows()
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = source(docs, id_col, text_col)
     return src.mapInArrow(run, "doc_id long, start long, length long, doc_tokens long, sequence_id long, "
                                "offset long, ids binary")
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from .crf import Chain, train
 from .pii_labels import SENTENCES
+from .tables import source
 from .words import Words, chunks, hash_spans, split_words, text_bytes
 
 KINDS = ["email", "ip", "card", "phone", "key"]
@@ -221,7 +222,7 @@ def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(out, kind_type)],
                                                  ["doc_id", "spans"])
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = source(docs, id_col, text_col)
     return src.mapInArrow(run, "doc_id long, spans array<struct<kind:string,first:long,end:long,base:boolean>>")
 
 

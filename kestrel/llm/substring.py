@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import emit, gathered, group_starts, stored, width
+from .tables import emit, gathered, group_starts, source, stored, width
 from .words import Words, chunks, mix, shingle_hashes, signed, split_words, window_hashes
 
 WINDOW = 50
@@ -251,7 +251,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ``sha`` (digest of all its words joined by single spaces), ``kept`` (the words left, joined by single spaces) and ``repeats``, the
     maximal repeats as spans of words."""
     spark = docs.sparkSession
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = source(docs, id_col, text_col)
     n_rows = src.select(F.sum(F.octet_length("text"))).first()[0] or 0
     spread = F.when(F.col("settled"), F.xxhash64("key", "doc")).otherwise(F.col("key"))
     seeds = (src.mapInArrow(_anchor_rows(window, k), "key long, doc long, settled boolean, many boolean")
@@ -280,7 +280,7 @@ def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
     Null or empty text: no words, the digest of nothing.  A null id counts as
     larger than every id.  Rows of one id, with equal or different texts, never
     remove from each other, and come out as often as they went in."""
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = source(docs, id_col, text_col)
     cut = stored(repeated_passages(docs, id_col, text_col, window, k)
                  .select(F.coalesce("doc_id", F.lit(_NULL_ID)).alias("key"), "sha", "n_removed", F.sha2("kept", 256).alias("cut_sha")).distinct(), "passage-cuts")
     whole = src.mapInArrow(_whole(window, k), "doc_id long, n_words long, sha string")

@@ -24,6 +24,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Where the session has Spark's own batch limit of 64 MB, hand texts to the
+    Python workers in batches of 8 MB: several copies of a batch live at once."""
+    if spark.conf.get(_BATCH_BYTES).lower() in ("64mb", "67108864", "67108864b"):
+        spark.conf.set(_BATCH_BYTES, "8m")
+
+
+def source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The two columns that an operator reads, under fixed names and types."""
+    bounded_batches(docs.sparkSession)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
 def width(spark: SparkSession, rows: float, per_task: int = 1 << 20) -> int:
     """Partitions so that a task gets about ``per_task`` rows at most, and no
     fewer than the session's shuffle partitions."""

@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tables import bounded_batches, source
 from .words import SEPARATOR, Words, chunks, shingle_hashes, split_words
 
 SEED = 5
@@ -150,7 +151,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     Null and empty texts match nothing; neither do items of fewer than ``k``
     words.  Equal items count once, a repeated document row gives its pairs
     again, ids may be null, and an empty table gives no rows."""
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = source(docs, id_col, text_col)
 
     def pairs(shared) -> DataFrame:
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,6 +179,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                   item_text: str = "text", k: int = SEED, least: float = COVERAGE) -> DataFrame:
     """``docs`` without the rows that cover an item; one pass per block, no shuffle."""
+    bounded_batches(docs.sparkSession)
     schema, names = docs.schema, docs.columns
 
     for block in _blocks(benchmark, item_col, item_text, k):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import stored
+from .tables import bounded_batches, stored
 
 CHUNK_BYTES = 64 << 10
 _SCHEMA = "record_id string, chunk int, last boolean, data binary"
@@ -56,6 +56,7 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     Equal payloads of at least ``min_bytes`` make one response, the smallest id
     (a null id counts as the largest), and revisits.  Repeated rows of the
     smallest id are all responses."""
+    bounded_batches(pages.sparkSession)
     src = pages.select(F.col(id_col).cast("long").alias("page"), F.col(url_col).cast("string").alias("url"),
                        F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"),
                        F.monotonically_increasing_id().alias("number"))

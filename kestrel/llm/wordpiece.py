@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import emit
+from .tables import emit, source
 from .words import chunks, split_words
 
 
@@ -131,7 +131,7 @@ def token_counts(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id",
     Null or empty text: zeros.  Repeated rows come out as often as they went in,
     a null id stays null, an empty table gives no rows, other columns are not
     looked at."""
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = source(docs, id_col, text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = automaton(vocabulary_path)
