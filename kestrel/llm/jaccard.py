@@ -21,8 +21,8 @@ Steps, all as Spark jobs:
 4. Per prefix shingle, every set is verified against the earliest document that
    has it.  In a group of copies this joins nearly all of them to the original
    in linear work.  The links' components follow.
-5. The remaining pairs, of different components only, are joined by prefix with
-   length, frequency and position filters, counted against ``l`` and verified.
+5. The remaining pairs, of different components only, are joined by the prefixes
+   that their two sizes need, with frequency and position filters, counted against ``l`` and verified.
    So links inside a component that is known already are not written out, and no
    link between different components is lost.
 
@@ -46,7 +46,7 @@ from .words import chunks, document_sets, mix, signed, split_words
 LOW_SHARE = 0.3
 _LOW = np.uint64(int(LOW_SHARE * 2 ** 64))
 MAX_MATCHES = 3
-VERIFY_WEIGHT = 2.0
+VERIFY_WEIGHT = 8.0       # postings visited in the time of one verification
 
 
 def _sets(column: pa.Array, k: int):
@@ -147,13 +147,17 @@ def index_overlap(n, percent: int):
 
 def choose_matches(df: np.ndarray, base: int) -> int:
     """The number of hits with the least estimated cost: postings visited, and
-    at most postings / hits partners to verify.  ``df``: frequencies of the
-    shared shingles in prefix order; ``base``: how many of them a one-hit
-    prefix has."""
+    partners to verify.  Copies share most of a prefix, so about as many sets
+    have ``hits`` hits as have the ``hits``-th most frequent shingle of it: more
+    hits pay where a few shingles are far more frequent than the others.
+    ``df``: frequencies of the shared shingles in prefix order; ``base``: how
+    many of them a one-hit prefix has."""
     best, least = 1, float("inf")
     for hits in range(1, MAX_MATCHES + 1):
-        postings = float(df[:base + hits - 1].sum())
-        cost = postings * (1 + VERIFY_WEIGHT / hits)
+        part = df[:base + hits - 1]
+        if len(part) < hits:
+            break
+        cost = float(part.sum()) + VERIFY_WEIGHT * float(part[-hits])   # df ascends
         if cost < least:
             best, least = hits, cost
     return best
@@ -280,8 +284,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = stored(posted.join(open_.select("token"), "token", "left_semi"), "shingle-postings")
     r, s = rest.where("probe").alias("r"), rest.where(F.col("level") <= MAX_MATCHES).alias("s")
     reach = "least(r.place - r.n + r.c, s.place - s.n + s.c) + 1 + least(r.n - 1 - r.place, s.n - 1 - s.place)"
+    # the pair's own prefixes are shorter than those for any partner
+    need = f"ceil({percent} * (r.n + s.n) / {100 + percent})"
+    early = f"r.place < r.n - {need} + r.hits and s.place < s.n - {need} + r.hits"
     pairs = (r.join(s, F.expr("r.token = s.token and r.component <> s.component and s.level <= r.hits and "
-                              "(r.n > s.n or r.n = s.n and r.sid > s.sid) and "
+                              f"(r.n > s.n or r.n = s.n and r.sid > s.sid) and {early} and "
                               f"{fits('r', 's')} and {100 + percent} * ({reach}) >= {percent} * (r.n + s.n)"))
              .groupBy(F.col("r.sid").alias("a"), F.col("s.sid").alias("b"), F.col("r.hits").alias("hits"))
              .count().where("count >= hits").select("a", "b"))
