@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.joins import broadcast_if_small
 
 # Option-type codes of the daily derivatives file.
 OPTION_TYPES = ["XX", "PE", "CE"]
@@ -95,8 +94,7 @@ def expiry_closes(index_close: DataFrame, date: str, close: str, expiry_dates: D
 
 def bull_put_spread(options: DataFrame, index_close: DataFrame, sell_steps: int, buy_steps: int,
                     step: float = 50.0, trade_date="tsdc", expiry="expdc", strike="strike_pr",
-                    close="close", opt="option_typ", idx_date="date", idx_close="nclose",
-                    max_broadcast_rows: int = 200_000) -> DataFrame:
+                    close="close", opt="option_typ", idx_date="date", idx_close="nclose") -> DataFrame:
     """Bull-put-spread back-test.
 
     ATM strike = floor(index close / step) · step on the trade date; sell the
@@ -106,8 +104,7 @@ def bull_put_spread(options: DataFrame, index_close: DataFrame, sell_steps: int,
     first, so the sell × buy join is 1:1 (fixes the reference's always-true
     predicate).  The index-close table has one row per calendar day; it is
     broadcast only under a checked row bound."""
-    idx = broadcast_if_small(index_close.select(F.col(idx_date).alias("__d"), F.col(idx_close).alias("__c")),
-                             max_broadcast_rows)
+    idx = index_close.select(F.col(idx_date).alias("__d"), F.col(idx_close).alias("__c"))
     puts = (options.where(F.col(opt) == "PE")
                    .groupBy(trade_date, expiry, strike).agg(F.avg(close).alias("__px")))
     j = puts.join(idx, puts[trade_date] == idx["__d"]).withColumn(

@@ -152,8 +152,8 @@ def mean_auc(model, positives: DataFrame, negatives: DataFrame, user: str, item:
     the positive scores higher, averaged over users.  Computed by ranking —
     for each positive, the count of negatives scoring below it comes from a
     running count over the user's merged, score-ordered list — so no
-    positive × negative pairs are formed.  Users with no correctly ranked
-    pair count as 0 (left join) unless ``keep_users_without_correct`` is
+    positive × negative pairs are formed.  Users without a pair are left out;
+    users with pairs of which none is ranked right count as 0 (left join) unless ``keep_users_without_correct`` is
     False (the reference's inner-join form)."""
     p = model.transform(positives.select(user, item)).withColumn("__pos", F.lit(1))
     n = model.transform(negatives.select(user, item)).withColumn("__pos", F.lit(0))
@@ -163,6 +163,7 @@ def mean_auc(model, positives: DataFrame, negatives: DataFrame, user: str, item:
     per = ranked.groupBy(user).agg(
         F.sum(F.when(F.col("__pos") == 1, F.col("__neg_below")).otherwise(0)).alias("correct"),
         F.sum("__pos").alias("n_pos"), F.sum(1 - F.col("__pos")).alias("n_neg"))
+    per = per.where("n_pos * n_neg > 0")          # no pair, nothing to rank
     per = per.withColumn("auc", F.try_divide(F.col("correct"), F.col("n_pos") * F.col("n_neg")))
     if not keep_users_without_correct:
         per = per.where("correct > 0")

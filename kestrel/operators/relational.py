@@ -61,13 +61,13 @@ def partition_by_rule(df: DataFrame, rule: Column, n: int) -> DataFrame:
     return df.repartitionById(n, rule)
 
 
-def cross_join_bounded(a: DataFrame, b: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """C11: cartesian product, allowed only when both sides are proven small
-    (bounded action per side).  Large inputs raise instead of exploding."""
-    from .joins import fits_in
-    if not (fits_in(a, max_rows) and fits_in(b, max_rows)):
-        raise ValueError("cross join refused: a side exceeds the size bound")
-    return F.broadcast(a).crossJoin(F.broadcast(b))
+def cross_join_bounded(a: DataFrame, b: DataFrame, max_output: int = 1_000_000) -> DataFrame:
+    """C11: cartesian product, allowed only when it has at most ``max_output``
+    rows (a bounded count per side).  Larger products raise instead of exploding."""
+    n, m = (x.limit(max_output + 1).count() for x in (a, b))
+    if n * m > max_output:
+        raise ValueError("cross join refused: the product exceeds the bound")
+    return a.crossJoin(b)
 
 
 def hash_fraction(*cols, seed: int = 0) -> Column:

@@ -43,5 +43,5 @@ def query(name: str, ids: str, sql: str | None = None, note: str = ""):
 def load_all() -> dict[str, Query]:
     """Import every catalogue module (registration is a side effect)."""
     from . import (relational, aggregates, windows, scalars, markets, weblogs,  # noqa: F401
-                   textjobs, nested, citystate, streams, tables, udfs, mljobs)
+                   textjobs, citystate, streams, tables, udfs, mljobs)
     return REGISTRY

@@ -339,7 +339,7 @@ SELECT s_suppkey FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM nat
 """)
 def _(spark, sf):
     t = T(spark, sf)
-    flags = J.broadcast_if_small(t.nation.where("n_regionkey = 2").select(F.col("n_nationkey").alias("s_nationkey")))
+    flags = t.nation.where("n_regionkey = 2").select(F.col("n_nationkey").alias("s_nationkey"))
     return t.supplier.join(flags, "s_nationkey", "left_semi").select("s_suppkey")
 
 

@@ -19,8 +19,15 @@ from .registry import query
 
 
 def event_stream(spark, sf):
-    schema = Tables(spark, sf).events.schema
-    s = S.file_stream(spark, sf, schema, "parquet", glob="events.parquet")
+    """The ``events`` table as a stream, whether it is one file or a folder of
+    files; a table without files is an error, not an empty stream."""
+    events = Tables(spark, sf).events
+    files = events.inputFiles()
+    if not files:
+        raise FileNotFoundError(f"the events table of {sf} has no files")
+    folder = files[0].rsplit("/", 1)[0].endswith("/events.parquet")
+    s = (S.file_stream(spark, f"{sf.rstrip('/')}/events.parquet", events.schema, "parquet") if folder
+         else S.file_stream(spark, sf, events.schema, "parquet", glob="events.parquet"))
     return s.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -163,15 +170,16 @@ def _(spark, sf):
     e = Tables(spark, sf).events
     src, ck = scratch_path(spark, "restart-src"), scratch_path(spark, "restart-ckpt")
     schema = e.schema
-    e.where(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")).write.parquet(f"{src}/part1")
+    early = F.coalesce(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz"), F.lit(False))
+    e.where(early).write.parquet(f"{src}/part1")
     counts = S.running_counts(S.file_stream(spark, f"{src}/*", schema).select(F.col("event_type").alias("word")), "word")
     name = f"restart_{uuid.uuid4().hex[:8]}"
     q1 = S.start(counts, "memory", "complete", name=name, checkpoint=ck, trigger={"availableNow": True})
-    q1.awaitTermination(600)
+    S.finish(q1)
     S.progress_frame(spark, q1).count()
     S.batch_end_offsets(q1)
     # new data arrives; the restarted query resumes from the checkpoint's state
-    e.where(F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz")).write.parquet(f"{src}/part2")
+    e.where(~early).write.parquet(f"{src}/part2")
     q2 = S.start(counts, "memory", "complete", name=name + "b", checkpoint=ck, trigger={"availableNow": True})
-    q2.awaitTermination(600)
+    S.finish(q2)
     return spark.table(name + "b").select(F.col("word").alias("event_type"), "count")

@@ -142,13 +142,13 @@ def _(spark, sf):
 SELECT g.bucket, COALESCE(c.count, 0) AS count
 FROM (SELECT unnest(range(0, 4))::INTEGER AS bucket) g LEFT JOIN (
   SELECT CASE WHEN idf >= 0 AND idf < 10 THEN 0 WHEN idf >= 10 AND idf < 100 THEN 1
-              WHEN idf >= 100 AND idf < 1000 THEN 2 WHEN idf >= 1000 AND idf <= 100000 THEN 3 END AS bucket,
+              WHEN idf >= 100 AND idf < 1000 THEN 2 WHEN idf >= 1000 THEN 3 END AS bucket,
          count(*) AS count FROM idf GROUP BY 1) c ON g.bucket = c.bucket
 """)
 def _(spark, sf):
     from ..operators.aggregate import histogram_bounds
     i = E.inverse_document_frequency(corpus(spark, sf), ("source", "id"))
-    return histogram_bounds(i, "idf", [0, 10, 100, 1000, 100000]).select("bucket", "count")
+    return histogram_bounds(i, "idf", [0, 10, 100, 1000, float("inf")]).select("bucket", "count")
 
 
 @query("er_tfidf_item_weights", "L32,H39", _REC + """

@@ -30,7 +30,7 @@ def local_session(app: str = "kestrel", cores: int | str = "*", shuffle_partitio
     platform gives you; every library function takes ``spark`` or a DataFrame."""
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", "16g"))
+         .config("spark.driver.memory", "8g"))
     for k, v in {**LOCAL_DEFAULTS, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -43,11 +43,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the platform to a shared file system and is
-    used as-is.  Only when it is unset (local tests) do we pick a fresh
-    scratch folder, and we register it with the SparkContext.
+    used as-is, or else the folder that the SparkContext already has.  Only in
+    local mode (tests) is a fresh scratch folder made; elsewhere executors would
+    not see it, so a missing setting is an error.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="kestrel-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -62,12 +65,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df, spark: SparkSession | None = None, eager: bool = True):
-    """Reliable lineage cut: ``checkpoint()`` into the shared checkpoint
-    folder (survives executor loss, unlike local checkpoints)."""
-    spark = spark or df.sparkSession
-    ensure_checkpoint_dir(spark)
-    return df.checkpoint(eager=eager)
+def written(df, name: str):
+    """``df`` written once to the shared folder and read back: cuts the lineage
+    and survives executor loss."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def env_sf_dir(default: str = "/root/testdata/sf0.01") -> str:

@@ -186,13 +186,25 @@ def start(df: DataFrame, fmt: str = "memory", mode: str = "append", name: str |
     return w.start()
 
 
-def run_to_table(df: DataFrame, name: str, mode: str = "complete", timeout_s: int = 600) -> DataFrame:
-    """Drain a stream over everything currently available
-    (``availableNow``) into a memory table and return it as a DataFrame."""
-    q = start(df, "memory", mode, name=name, trigger={"availableNow": True})
-    q.awaitTermination(timeout_s)
+def finish(q) -> None:
+    """Wait, without a limit, until a stream has read all that was there;
+    raise what stopped it otherwise."""
+    q.awaitTermination()
     if q.exception():
         raise q.exception()
+
+
+def run_to_table(df: DataFrame, name: str, mode: str = "complete") -> DataFrame:
+    """Drain a stream over everything currently available (``availableNow``).
+
+    Append mode goes to parquet files in the shared folder, read back as a
+    table; the other modes rewrite rows, which file sinks cannot, and go to a
+    memory table, so their results have to be small."""
+    if mode == "append":
+        path = scratch_path(df.sparkSession, f"sink-{name}")
+        finish(start(df, "parquet", mode, name=name, path=path, trigger={"availableNow": True}))
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+    finish(start(df, "memory", mode, name=name, trigger={"availableNow": True}))
     return df.sparkSession.table(name)
 
 
@@ -215,42 +227,3 @@ def batch_end_offsets(query) -> list[tuple[int, str]]:
         for s in p.get("sources", []):
             out.append((p["batchId"], str(s.get("endOffset"))))
     return out
-
-
-class OffsetRecorder:
-    """I18 (push form): a ``StreamingQueryListener`` that records each
-    batch's end offsets.  Python listeners need PySpark's callback channel;
-    ``batch_end_offsets`` is the poll-based alternative."""
-
-    def __init__(self):
-        from pyspark.sql.streaming import StreamingQueryListener
-
-        outer = self
-        self.offsets: list[tuple[int, str]] = []
-
-        class _L(StreamingQueryListener):
-            def onQueryStarted(self, event):
-                pass
-
-            def onQueryProgress(self, event):
-                p = event.progress
-                for s in p.sources:
-                    outer.offsets.append((p.batchId, s.endOffset))
-
-            def onQueryIdle(self, event):
-                pass
-
-            def onQueryTerminated(self, event):
-                pass
-
-        self.listener = _L()
-
-    def attach(self, spark: SparkSession) -> "OffsetRecorder":
-        spark.streams.addListener(self.listener)
-        return self
-
-    def detach(self, spark: SparkSession) -> None:
-        spark.streams.removeListener(self.listener)
-
-    def last(self) -> str | None:
-        return self.offsets[-1][1] if self.offsets else None

@@ -112,7 +112,7 @@ def test_custom_partitioner(spark):
 def test_cross_join_bound_refuses_large(spark):
     import pytest
     with pytest.raises(ValueError):
-        R.cross_join_bounded(spark.range(100), spark.range(5), max_rows=10)
+        R.cross_join_bounded(spark.range(100), spark.range(5), max_output=499)
 
 
 def test_month_name_dates_any_case(spark):
@@ -130,3 +130,31 @@ def test_fixed_size_sample_per_group(spark):
     df = spark.range(1000).withColumn("g", F.col("id") % 3)
     s = R.fixed_size_sample_per_group(df, F.col("g"), 7, key_cols=["id"])
     assert sorted(r[1] for r in s.groupBy("g").count().collect()) == [7, 7, 7]
+
+
+def test_zip_with_index_keeps_positions_with_a_payload(spark):
+    df = spark.range(300_000).selectExpr("id * 7919 % 300007 as k", "repeat('x', 5) as payload")
+    out = J.zip_with_index(df, ["k"], "pos")
+    row = out.selectExpr("count(distinct pos) n", "max(pos) hi", "min(pos) lo").first()
+    assert (row.n, row.hi, row.lo) == (300_000, 299_999, 0)
+    assert out.orderBy("pos").limit(5).select("k").collect() == df.orderBy("k").limit(5).select("k").collect()
+
+
+def test_event_stream_reads_a_folder_of_files(spark, tmp_path):
+    from kestrel.plans.registry import load_all
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    out = load_all()["stream_running_count_complete"].fn(spark, str(tmp_path))
+    assert out.agg({"count": "sum"}).first()[0] == spark.read.parquet(f"{tmp_path}/events.parquet").count()
+
+
+def test_mean_auc_leaves_out_users_without_pairs(spark):
+    from kestrel.ml.jobs import mean_auc
+
+    class Scores:
+        def transform(self, df):
+            return df.selectExpr("*", "cast(item as double) as prediction")
+
+    pos = spark.createDataFrame([(1, 9), (2, 5), (3, 1)], "user int, item int")
+    neg = spark.createDataFrame([(1, 3), (3, 2)], "user int, item int")
+    row = mean_auc(Scores(), pos, neg, "user", "item").first()
+    assert (row.mean_auc, row.users) == (0.5, 2)
