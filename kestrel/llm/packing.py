@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .tables import source
 
-CACHE_WORDS = 300_000      # about 70 MB in a worker when full
+CACHE_WORDS = 420_000      # about 95 MB in a worker when full
 _ODD = re.compile("[\x1c-\x1f\x01]")      # white space to Python only, and the border below
 _PLAIN = re.compile("[^\x01\x1c-\x1f\u0130-\U0010ffff]*\\Z")
 _POINT = re.compile("(?<=[a-z0-9\xdf-\xf6\xf8-\u012f])([.,])(?=\\s|\\Z)")
@@ -97,7 +97,7 @@ class WordCacheEncoder:
 
     def shrink(self) -> None:
         """Keep the short words, which come again most often."""
-        self.cache = {w: x for w, x in self.cache.items() if len(w) <= 6}
+        self.cache = {w: x for w, x in self.cache.items() if len(w) <= 8}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [self._parts(t) for t in texts]
