@@ -28,7 +28,8 @@ from .tables import source
 CACHE_WORDS = 420_000      # about 95 MB in a worker when full
 _ODD = re.compile("[\x1c-\x1f\x01]")      # white space to Python only, and the border below
 _PLAIN = re.compile("[^\x01\x1c-\x1f\u0130-\U0010ffff]*\\Z")
-_POINT = re.compile("(?<=[a-z0-9\xdf-\xf6\xf8-\u012f])([.,])(?=\\s|\\Z)")
+_OTHER_POINT = re.compile("[.,](?<![a-z0-9\xdf-\xf6\xf8-\u012f][.,])(?=[ \n])")
+_POINTS = ((". ", " . "), (", ", " , "), (".\n", " .\n"), (",\n", " ,\n"))
 _BORDER = "\x01"
 
 
@@ -40,40 +41,51 @@ class WordCacheEncoder:
     after a letter or digit is a token border of its own.  Each distinct chunk
     is encoded once by the tokenizer, in bulk: chunks of letters are told apart by
     the end-of-word pieces, others by a border character between them.  The cache
-    is cut back to short words when it is full.  Texts below U+0130 are put in lower case first, as the tokenizer would do; there this
-    changes no character count and there are no combining marks.  Python's
-    ``split`` also cuts at U+001C-U+001F, which the tokenizer does not: texts
-    with those characters, or with the border, are encoded whole.
+    is cut back to short words when it is full.  Texts below U+0130 are put in
+    lower case first, as the tokenizer would do; there this changes no character
+    count and there are no combining marks, so their chunks skip its normalizer,
+    and those of letters its splitting pattern too.  Python's ``split`` also cuts
+    at U+001C-U+001F, which the tokenizer does not: texts with those characters,
+    with the border or with the name of a special token are encoded whole.
     """
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
+        self.plain = Tokenizer(self.tokenizer.model)         # the same model, not a copy
+        self.plain.pre_tokenizer = self.tokenizer.pre_tokenizer
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.border, = self.tokenizer.encode(_BORDER, add_special_tokens=False).ids
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self.cache: dict[str, bytes] = {}
 
-    def _add(self, words: list[str], between: str, cut) -> None:
+    def _add(self, words: list[str], tokenizer, between: str, cut) -> None:
         """Encode chunks in texts of 64; ``cut`` gives, of a text's ids, where
         each chunk ends and where the next begins."""
         groups = [words[i:i + 64] for i in range(0, len(words), 64)]
         texts = [between.join(g) + between for g in groups]
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+        if tokenizer is not self.tokenizer:
+            texts = [t.lower() for t in texts]
+        for group, e in zip(groups, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(e.ids, "<u4")
             ends, nexts = cut(ids)
             if len(ends) != len(group):
                 raise ValueError("the tokenizer doesn't cut chunks as expected")
             raw, a = ids.tobytes(), 0
-            for word, z, b in zip(group, ends.tolist(), nexts.tolist()):
-                self.cache[word] = raw[4 * a:4 * z]
+            for word, z, b in zip(group, (4 * ends).tolist(), (4 * nexts).tolist()):
+                self.cache[word] = raw[a:z]
                 a = b
 
     def _learn(self, words: list[str]) -> None:
-        letters = [w for w in words if w.isalpha() and max(w) < "\u0130"]
-        others = list(set(words).difference(letters))
+        letters, plain, others = [], [], []
+        for w in words:
+            (others if not w.isascii() and max(w) >= "\u0130" else letters if w.isalpha() else plain).append(w)
 
         def at_last(ids):
             z = np.flatnonzero(self.last[ids]) + 1
@@ -83,17 +95,23 @@ class WordCacheEncoder:
             z = np.flatnonzero(ids == self.border)
             return z, z + 1
 
-        self._add(letters, " ", at_last)
-        self._add(others, f" {_BORDER} ", at_border)
+        self._add(letters, self.letters, " ", at_last)
+        self._add(plain, self.plain, f" {_BORDER} ", at_border)
+        self._add(others, self.tokenizer, f" {_BORDER} ", at_border)
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    @staticmethod
-    def _parts(text: str) -> list[str] | None:
-        if _PLAIN.match(text):
-            return _POINT.sub(r" \1", text.lower()).split()
-        return None if _ODD.search(text) else text.split()
+    def _parts(self, text: str) -> list[str] | None:
+        low = text.lower()
+        if any(s in low for s in self.special):
+            return None
+        if not _PLAIN.match(text):
+            return None if _ODD.search(text) else text.split()
+        if not _OTHER_POINT.search(low):
+            for a, b in _POINTS:
+                low = low.replace(a, b)
+        return low.split()
 
     def shrink(self) -> None:
         """Keep the short words, which come again most often."""
@@ -101,22 +119,19 @@ class WordCacheEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [self._parts(t) for t in texts]
-        out: list[bytes | None] = [None] * len(texts)
-        missing: set[str] = set()
-        for i, p in enumerate(parts):
-            if p is None:
-                out[i] = self._ids(texts[i])
-                continue
-            try:
-                out[i] = b"".join(map(self.cache.__getitem__, p))
-            except KeyError:
-                missing.update([w for w in p if w not in self.cache])
+        get = self.cache.get
+        found = [None if p is None else list(map(get, p)) for p in parts]
+        missing = {w for p, f in zip(parts, found) if p and None in f for w, x in zip(p, f) if x is None}
         if len(self.cache) + len(missing) > CACHE_WORDS:
             self.shrink()
-            missing = set().union(*(p for p, o in zip(parts, out) if o is None)).difference(self.cache)
         self._learn(list(missing))
-        get = self.cache.__getitem__
-        return [b"".join(map(get, p)) if o is None else o for p, o in zip(parts, out)]
+        get = self.cache.get
+        out = []
+        for text, p, f in zip(texts, parts, found):
+            if p and None in f:
+                f = [get(w) if x is None else x for w, x in zip(p, f)]
+            out.append(self._ids(text) if p is None else b"".join(f))
+        return out
 
 
 _ENCODERS: dict[str, WordCacheEncoder] = {}

@@ -127,6 +127,23 @@ def test_passages(docs, rows, empty):
     assert substring.digest(empty).count() == 0
 
 
+def test_word_cache_equals_tokenizer():
+    """Odd pieces put together at random: ids equal those of the tokenizer on the whole text."""
+    import random
+
+    from tokenizers import Tokenizer
+    path = tokenizer_file("word_bpe_49k.json")
+    encoder, whole = packing.WordCacheEncoder(path), Tokenizer.from_file(path)
+    plain = [*"aZ\xe9\xdf\xaa\xb5., \n\t'<|>1\xa0\x85-_@", "<|endoftext|>", "<|ENDOFTEXT|>", "'s", "'re ", " foo. ", "... ", " ., "]
+    odd = [*"\u0130\u0131\u0301\u03a3\u03c2\u0663\x1c\x01\u4e2d", "\U0001d49c"]
+    draw = random.Random(3)
+    texts = ["".join(draw.choices(plain + odd * (k % 2), k=draw.randint(0, 30))) for k in range(6000)]
+    for i in range(0, len(texts), 256):
+        part = texts[i:i + 256]
+        assert encoder.encode(part) == [
+            np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in part]
+
+
 def test_packing(docs, rows, empty):
     path = tokenizer_file("word_bpe_49k.json")
     out = packing.pack(docs, path).collect()
