@@ -173,3 +173,71 @@ def mean_auc(model, positives: DataFrame, negatives: DataFrame, user: str, item:
 def embedding_features(df: DataFrame, array_col: str = "embedding", out: str = "features") -> DataFrame:
     """M1: array column → ML vector."""
     return df.withColumn(out, array_to_vector(F.col(array_col).cast("array<double>")))
+
+
+def hashed_split(df: DataFrame, keys: list[str], test_percent: int = 20) -> tuple[DataFrame, DataFrame]:
+    """Train and test rows by a hash of ``keys``: the same split however often,
+    and on whatever executor, the rows are read."""
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(100))
+    return df.where(bucket >= test_percent), df.where(bucket < test_percent)
+
+
+def forest_report(df: DataFrame, numeric: list[str], label: str, keys: list[str], max_categories: int = 8,
+                  seed: int = 7) -> DataFrame:
+    """A forest tuned by train/validation split and a single
+    tree, both scored on held-out rows.  Rows (part, name, value): chosen
+    parameters, importances, nodes of the tree, accuracy, F1, confusion cells."""
+    from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
+    from pyspark.ml.feature import StringIndexer, VectorIndexer
+    from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
+    train, test = hashed_split(df, keys)
+    prepare = Pipeline(stages=[
+        StringIndexer(inputCol=label, outputCol="__label", handleInvalid="keep"),
+        VectorAssembler(inputCols=numeric, outputCol="__raw", handleInvalid="skip"),
+        VectorIndexer(inputCol="__raw", outputCol="__features", maxCategories=max_categories,
+                      handleInvalid="keep")]).fit(train)
+    train, test = (prepare.transform(x).select("__label", "__features") for x in (train, test))
+    forest = RandomForestClassifier(featuresCol="__features", labelCol="__label", seed=seed)
+    grid = ParamGridBuilder().addGrid(forest.numTrees, [4, 8]).addGrid(forest.maxDepth, [3, 5]).build()
+    accuracy = MulticlassClassificationEvaluator(labelCol="__label", metricName="accuracy")
+    f1 = MulticlassClassificationEvaluator(labelCol="__label", metricName="f1")
+    tuned = TrainValidationSplit(estimator=forest, estimatorParamMaps=grid, evaluator=accuracy, trainRatio=0.8,
+                                 seed=seed).fit(train)
+    best = tuned.bestModel
+    tree = DecisionTreeClassifier(featuresCol="__features", labelCol="__label", maxDepth=4, seed=seed).fit(train)
+    rows = [("parameter", "numTrees", float(best.getNumTrees)), ("parameter", "maxDepth", float(best.getMaxDepth())),
+            ("tree", "nodes", float(tree.numNodes)), ("tree", "lines", float(len(tree.toDebugString.splitlines())))]
+    rows += [("validation", ", ".join(f"{p.name}={v}" for p, v in sorted(point.items(), key=lambda x: x[0].name)), float(m))
+             for point, m in zip(grid, tuned.validationMetrics)]
+    for name, model in (("forest", best), ("tree", tree)):
+        scored = model.transform(test)
+        rows += [("accuracy", name, float(accuracy.evaluate(scored))), ("f1", name, float(f1.evaluate(scored)))]
+        rows += [("importance", f"{name} {c}", float(x)) for c, x in zip(numeric, model.featureImportances.toArray())]
+    cells = best.transform(test).groupBy("__label", "prediction").count().select(
+        F.lit("confusion").alias("part"), F.concat_ws(" as ", "__label", "prediction").alias("name"),
+        F.col("count").cast("double").alias("value"))
+    return df.sparkSession.createDataFrame(rows, "part string, name string, value double").unionByName(cells)
+
+
+def cross_validated_regression(df: DataFrame, numeric: list[str], label: str, keys: list[str],
+                               folds: int = 3) -> DataFrame:
+    """Elastic-net regression chosen by cross-validation over
+    hashed folds, then scored on held-out rows.  Rows (part, name, value)."""
+    from pyspark.ml.regression import LinearRegression
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    train, test = hashed_split(df, keys)
+    train = train.withColumn("__fold", F.pmod(F.xxhash64(*keys, F.lit("fold")), F.lit(folds)).cast("int"))
+    line = LinearRegression(featuresCol="__features", labelCol=label, maxIter=20)
+    grid = ParamGridBuilder().addGrid(line.regParam, [0.01, 1.0]).addGrid(line.elasticNetParam, [0.0, 0.5]).build()
+    rmse = RegressionEvaluator(labelCol=label, metricName="rmse")
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=numeric, outputCol="__features", handleInvalid="skip"), line])
+    chosen = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=rmse, numFolds=folds,
+                            foldCol="__fold").fit(train)
+    best, scored = chosen.bestModel.stages[-1], chosen.transform(test)
+    rows = [("fold mean rmse", ", ".join(f"{p.name}={v}" for p, v in sorted(point.items(), key=lambda x: x[0].name)), float(m))
+            for point, m in zip(grid, chosen.avgMetrics)]
+    rows += [("parameter", p, float(best.getOrDefault(p))) for p in ("regParam", "elasticNetParam")]
+    rows += [("coefficient", c, float(x)) for c, x in zip([*numeric, "intercept"], [*best.coefficients, best.intercept])]
+    rows += [("held out", "rmse", float(rmse.evaluate(scored))),
+             ("held out", "r2", float(RegressionEvaluator(labelCol=label, metricName="r2").evaluate(scored)))]
+    return df.sparkSession.createDataFrame(rows, "part string, name string, value double")

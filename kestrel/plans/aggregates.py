@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import udfs as U
 from ..operators import aggregate as A
+from ..session import written
 from ..sources.tables import Tables
 from .registry import query
 
@@ -287,7 +288,7 @@ def _(spark, sf):
     return s.select("pos", F.round("total", 4).alias("total"))
 
 
-@query("observed_side_counters", "D41", """
+@query("observed_side_counters", "", """
 SELECT count(*) AS kept FROM events WHERE event_type <> 'error'
 """)
 def _(spark, sf):
@@ -312,3 +313,18 @@ SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey HAVING count(*) >
 """)
 def _(spark, sf):
     return A.having(T(spark, sf).orders, ["o_custkey"], F.count(F.lit(1)).alias("n"), F.col("n") > 15)
+
+
+@query("observed_counters_read_back", "D41", """
+SELECT count(*) AS rows_seen, count(*) FILTER (WHERE event_type = 'error') AS errors,
+       count(*) FILTER (WHERE event_type <> 'error') AS kept
+FROM events
+""")
+def _(spark, sf):
+    e = T(spark, sf).events.select("event_id", "event_type")
+    seen, obs = A.observe_counts(e, "event_counts_read", rows_seen=F.count(F.lit(1)),
+                                 errors=F.count(F.when(F.col("event_type") == "error", 1)))
+    kept = written(seen.where("event_type <> 'error'"), "observed-events")     # the one pass that counts
+    counters = obs.get
+    return kept.agg(F.lit(counters["rows_seen"]).alias("rows_seen"), F.lit(counters["errors"]).alias("errors"),
+                    F.count(F.lit(1)).alias("kept"))

@@ -40,7 +40,7 @@ def _(spark, sf):
     return dist.crossJoin(acc).select("label", "n", fixed("p", 9).alias("p"), fixed("accuracy", 9).alias("random_guess"))
 
 
-@query("random_forest_tuned_confusion", "M4,M14,M16,M17,M18,M19,M20", note="rows-only: confusion matrix rows")
+@query("random_forest_tuned_confusion", "M18,M19", note="rows-only: confusion matrix rows")
 def _(spark, sf):
     from pyspark.ml.feature import VectorIndexer
     v = vectors(spark, sf)
@@ -49,7 +49,7 @@ def _(spark, sf):
     return confusion
 
 
-@query("linear_regression_price", "M2,M3,M12,M13,M15", note="rows-only: one metrics row")
+@query("linear_regression_price", "M2,M3,M12,M13", note="rows-only: one metrics row")
 def _(spark, sf):
     li = Tables(spark, sf).lineitem
     _, rmse, r2 = ML.linear_regression(li, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice",
@@ -70,3 +70,17 @@ def _(spark, sf):
     auc = ML.mean_auc(model, test, neg, "user", "item")
     top = model.recommendForAllUsers(5).select("user", F.size("recommendations").alias("n_recs"))
     return top.crossJoin(auc)
+
+
+@query("forest_held_out_report", "M4,M14,M16,M17,M18,M19,M20", note="rows-only: MLlib models")
+def _(spark, sf):
+    li = Tables(spark, sf).lineitem
+    return ML.forest_report(li, ["l_quantity", "l_extendedprice", "l_discount", "l_linenumber"], "l_returnflag",
+                            ["l_orderkey", "l_linenumber"])
+
+
+@query("regression_cross_validated", "M12,M13,M15,M20", note="rows-only: MLlib model")
+def _(spark, sf):
+    li = Tables(spark, sf).lineitem
+    return ML.cross_validated_regression(li, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice",
+                                         ["l_orderkey", "l_linenumber"])

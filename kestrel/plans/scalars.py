@@ -160,7 +160,7 @@ def _(spark, sf):
                     F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("type"))).alias("as_json"))
 
 
-@query("explode_map_entries", "H4,H5,H32,H33,L44", """
+@query("explode_map_entries", "H4", """
 SELECT event_id, 'k' AS key, CAST(json_extract(props, '$.k') AS BIGINT) AS value, event_type AS kind FROM events
 """)
 def _(spark, sf):
@@ -217,3 +217,27 @@ def _(spark, sf):
     files = spark.read.parquet(path).select("o_orderkey", F.input_file_name().alias("f"))
     y, m, _d = D.partition_values_from_path(F.col("f"))
     return files.groupBy(y.alias("year"), m.alias("month")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("nested_device_map_flatten", "H5,H32,H33,L44", """
+SELECT c_custkey, c_mktsegment AS account_kind, CAST(c_nationkey AS VARCHAR) AS home_kind, 'account' AS device,
+       c_mktsegment AS kind, CAST(unnest([c_custkey, c_nationkey]) AS BIGINT) AS port FROM customer
+UNION ALL
+SELECT c_custkey, c_mktsegment, CAST(c_nationkey AS VARCHAR), 'home', CAST(c_nationkey AS VARCHAR),
+       CAST(c_nationkey AS BIGINT) FROM customer
+""")
+def _(spark, sf):
+    """A map of structs, read from JSON text: looked up by key and by dot,
+    then exploded twice in a row (entries, then the list inside each)."""
+    def device(kind, *ports):
+        return F.struct(F.struct(F.col(kind).cast("string").alias("kind")).alias("info"),
+                        F.array(*[F.col(p).cast("bigint") for p in ports]).alias("ports"))
+
+    text = F.to_json(F.create_map(F.lit("account"), device("c_mktsegment", "c_custkey", "c_nationkey"),
+                                  F.lit("home"), device("c_nationkey", "c_nationkey")))
+    c = T(spark, sf).customer.select("c_custkey", F.from_json(
+        text, "map<string, struct<info: struct<kind: string>, ports: array<bigint>>>").alias("devices"))
+    entries = c.select("c_custkey", F.col("devices")["account"]["info"]["kind"].alias("account_kind"),
+                       F.col("devices.home.info.kind").alias("home_kind"), F.explode("devices").alias("device", "d"))
+    return entries.select("c_custkey", "account_kind", "home_kind", "device", F.col("d.info.kind").alias("kind"),
+                          F.explode("d.ports").alias("port"))
