@@ -501,7 +501,7 @@ def _(spark, sf):
     return out.withColumn("names", F.to_json("names")).select("key", "name", "names", "one")
 
 
-@query("plan_pushdown_and_cache", "F17,F18,F19,F20", """
+@query("plan_pushdown_and_cache", "F18,F20", """
 SELECT true AS pushed_filters, true AS pruned_schema, count(*) AS rows FROM lineitem WHERE l_quantity > 49
 """)
 def _(spark, sf):
