@@ -1,12 +1,12 @@
 """Operator 1: line deduplication by pairwise alignment.
 
-1. Lines (without their white space at the ends) are hashed.  A line that stands
-   in several documents belongs to the first of them, its owner.  In each run of
-   neighbouring lines that have the same owner, the line in the fewest documents
-   is the run's anchor: the rarest line of every shared run, however common.
-2. An anchor joins its document with the owner.  So a document meets each
-   earlier document that it shares a run with, once; a group of copies makes one
-   pair per copy, and no pairs among the copies.
+1. Lines (without their white space at the ends) are hashed, and so are the runs
+   of up to ``min_lines`` neighbouring lines.  A line or run that stands in several
+   documents belongs to the first of them, its owner.
+2. A line or run joins its document with the owner.  So a document meets the first
+   holder of each of its runs once, also where every line of a run was seen
+   elsewhere before; a group of copies makes one pair per copy, and no pairs among
+   the copies.
 3. Each pair is aligned by patience: lines that are unique in both are matched
    by their longest increasing sequence, the gaps between are aligned in the same
    way, and matches grow over equal neighbours.
@@ -28,7 +28,7 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from .tables import bounded_batches, source, stored
 from .texts import expand, squeeze
-from .words import SEPARATOR, chunks, hash_spans, signed
+from .words import _BASE, SEPARATOR, chunks, hash_spans, mix, signed
 
 MIN_LINES = 2
 MIN_CHARS = 200
@@ -50,21 +50,41 @@ def _lines(buf: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return row[has], number[has], solid[first[has]], solid[last[has] - 1] + 1
 
 
-def _line_table(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document: its key and the hashes, numbers and lengths of its lines."""
-    for b in batches:
-        ids = b.column(0)
-        for lo, hi, buf, offset in chunks(b.column(1)):
-            row, number, start, end = _lines(buf, offset) if len(buf) else (np.zeros(0, np.int64),) * 4
-            h = signed(hash_spans(buf, start, end))
-            bound = np.searchsorted(row, np.arange(hi - lo + 1))
-            size = np.diff(bound)
-            offsets = pa.array(np.concatenate(([0], np.cumsum(size))), pa.int32())
-            text = hash_spans(buf, offset[:-1], offset[1:])
-            cols = [pa.ListArray.from_arrays(offsets, pa.array(x, t)) for x, t in (
-                (h, pa.int64()), (number.astype(np.int32), pa.int32()), ((end - start).astype(np.int32), pa.int32()))]
-            yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(signed(text)), *cols],
-                                             ["doc_id", "text_key", "line", "number", "chars"])
+def _runs(line: np.ndarray, end: np.ndarray, min_lines: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per length: first line and hash of every run of up to ``min_lines`` lines;
+    ``end`` is the end of the document of each line."""
+    key = np.zeros(len(line), np.uint64)
+    for n in range(1, max(min_lines, 1) + 1):
+        at = np.flatnonzero(np.arange(n, len(line) + n) <= end)
+        if not len(at):
+            return
+        key[at] = mix(key[at] * _BASE + line[at + n - 1])
+        yield at, key[at]
+
+
+def _line_table(min_lines: int):
+    """Per document: its key, the hashes, numbers and lengths of its lines, and
+    the hashes of its runs."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = b.column(0)
+            for lo, hi, buf, offset in chunks(b.column(1)):
+                row, number, start, end = _lines(buf, offset) if len(buf) else (np.zeros(0, np.int64),) * 4
+                h = hash_spans(buf, start, end)
+                rows = np.arange(hi - lo + 1)
+                bound = np.searchsorted(row, rows)
+                runs = list(_runs(h, bound[1:][row], min_lines))
+                at = np.concatenate([np.zeros(0, np.int64), *(x for x, _ in runs)])
+                order = np.argsort(at, kind="stable")
+                key = np.concatenate([np.zeros(0, np.uint64), *(x for _, x in runs)])[order]
+                run_bound = np.searchsorted(row[at[order]], rows)
+                text = hash_spans(buf, offset[:-1], offset[1:])
+                cols = [pa.ListArray.from_arrays(pa.array(n, pa.int32()), pa.array(x, t)) for n, x, t in (
+                    (bound, signed(h), pa.int64()), (bound, number.astype(np.int32), pa.int32()),
+                    (bound, (end - start).astype(np.int32), pa.int32()), (run_bound, signed(key), pa.int64()))]
+                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(signed(text)), *cols],
+                                                 ["doc_id", "text_key", "line", "number", "chars", "run"])
+    return run
 
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -149,29 +169,13 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     document loses; ``text_key`` is the hash of its text."""
     src = source(docs, id_col, text_col)
     table = stored(src.where("doc_id is not null").mapInArrow(
-        _line_table, "doc_id long, text_key long, line array<long>, number array<int>, chars array<int>")
+        _line_table(min_lines), "doc_id long, text_key long, line array<long>, number array<int>, chars array<int>, run array<long>")
         .where("size(line) > 0"), "lines")
-    single = table.select("doc_id", F.explode(F.array_distinct("line")).alias("line"))
-    shared = stored(single.groupBy("line").agg(F.count("*").alias("docs"), F.min("doc_id").alias("owner"),
-                                               F.max("doc_id").alias("last"))
-                    .where("owner <> last").select("line", "docs", "owner"), "shared-lines")
-    places = table.select("doc_id", "text_key", F.posexplode("line").alias("at", "line"))
-    hits = places.join(shared, "line").where("owner <> doc_id")
-    # the rarest line of each run of neighbours with one owner stands for the run
-    runs = (hits.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("at", "owner", "docs", "line")))
-                                                   .alias("hit"))
-            .select("doc_id", "text_key", F.explode(F.expr("""
-                filter(transform(hit, (x, i) -> struct(x.owner as owner, x.line as line,
-                    x.docs <= coalesce(if(try_element_at(hit, i).at = x.at - 1 and try_element_at(hit, i).owner = x.owner,
-                                          try_element_at(hit, i).docs, null), x.docs)
-                    and x.docs <= coalesce(if(try_element_at(hit, i + 2).at = x.at + 1
-                                              and try_element_at(hit, i + 2).owner = x.owner,
-                                              try_element_at(hit, i + 2).docs, null), x.docs) as anchor)),
-                    x -> x.anchor)""".replace("try_element_at(hit, i)", "get(hit, i - 1)")
-                                                         .replace("try_element_at(hit, i + 2)", "get(hit, i + 1)"))
-                                                  ).alias("x")))
-    pairs = stored(runs.select(F.col("doc_id").alias("later"), "text_key", F.col("x.owner").alias("owner")).distinct(),
-                   "line-pairs")
+    runs = table.select("doc_id", "text_key", F.explode(F.array_distinct("run")).alias("run"))
+    shared = stored(runs.groupBy("run").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
+                    .where("owner <> last").select("run", "owner"), "shared-runs")
+    pairs = stored(runs.join(shared, "run").where("owner <> doc_id")
+                   .select(F.col("doc_id").alias("later"), "text_key", "owner").distinct(), "line-pairs")
     owned = table.select(F.col("doc_id").alias("owner"), F.col("line").alias("owned"))
     aligned = (pairs.join(table.withColumnRenamed("doc_id", "later"), ["later", "text_key"])
                .join(owned, "owner")

@@ -382,6 +382,14 @@ def test_line_dedup(docs, rows, empty):
     assert line_align.without_repeated_lines(empty).count() == 0
 
 
+def test_line_dedup_first_holder_of_block(spark):
+    """Lines first seen alone elsewhere: the block joins the first document that holds it."""
+    texts = ["aa\nx1", "x2\nbb", "x3\naa\nbb\nx4", "x5\naa\nbb\nx6", "bb\naa"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_align.without_repeated_lines(docs).collect()}
+    assert got == {**dict(enumerate(texts)), 3: "x5\nx6"}
+
+
 def test_pipeline_against_brute_force(spark, tmp_path):
     """Each stage on its own input, by plain Python."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
