@@ -1,17 +1,23 @@
 """Operator 1: line deduplication by pairwise alignment.
 
 1. Lines (without their white space at the ends) are hashed, and so are the runs
-   of up to ``min_lines`` neighbouring lines.  A line or run that stands in several
+   of neighbouring lines that are long enough to be deleted: ``min_lines`` lines,
+   or fewer of at least ``min_chars`` bytes.  A run that stands in several
    documents belongs to the first of them, its owner.
-2. A line or run joins its document with the owner.  So a document meets the first
-   holder of each of its runs once, also where every line of a run was seen
-   elsewhere before; a group of copies makes one pair per copy, and no pairs among
-   the copies.
+2. A run joins its document with the owner.  So a document meets the first holder
+   of each of its runs once, also where every line of a run was seen elsewhere
+   before; a group of copies makes one pair per copy, and no pairs among the copies.
 3. Each pair is aligned by patience: lines that are unique in both are matched
    by their longest increasing sequence, the gaps between are aligned in the same
    way, and matches grow over equal neighbours.
-4. Aligned blocks of at least ``min_lines`` lines, or ``min_chars`` characters,
-   are deleted from the later document.
+4. Aligned blocks of at least ``min_lines`` lines, or ``min_chars`` bytes, are
+   deleted from the later document.
+5. An alignment matches each line once and in order.  With ``every_copy``, where it
+   leaves lines of the later document, the runs with these lines are looked up
+   among all runs of the earlier one: copies that are repeated or stand in another
+   order go too.  So a line goes if, and only if, it is in a run that an earlier
+   document holds.  Without it, all runs and lines that documents share make pairs,
+   and only what the alignments match goes.
 """
 
 from __future__ import annotations
@@ -50,19 +56,23 @@ def _lines(buf: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return row[has], number[has], solid[first[has]], solid[last[has] - 1] + 1
 
 
-def _runs(line: np.ndarray, end: np.ndarray, min_lines: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Per length: first line and hash of every run of up to ``min_lines`` lines;
-    ``end`` is the end of the document of each line."""
+def _runs(line: np.ndarray, chars: np.ndarray, end: np.ndarray, min_lines: int,
+          min_chars: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Per length: lines, first lines and hashes of the runs that can be deleted,
+    ``min_lines`` lines or fewer of at least ``min_chars`` bytes; ``end`` is the
+    end of the document of each line."""
     key = np.zeros(len(line), np.uint64)
+    total = np.concatenate(([0], np.cumsum(chars, dtype=np.int64)))
     for n in range(1, max(min_lines, 1) + 1):
         at = np.flatnonzero(np.arange(n, len(line) + n) <= end)
         if not len(at):
             return
         key[at] = mix(key[at] * _BASE + line[at + n - 1])
-        yield at, key[at]
+        long = at if n >= min_lines else at[total[at + n] - total[at] >= min_chars]
+        yield n, long, key[long]
 
 
-def _line_table(min_lines: int):
+def _line_table(min_lines: int, min_chars: int):
     """Per document: its key, the hashes, numbers and lengths of its lines, and
     the hashes of its runs."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,10 +83,10 @@ def _line_table(min_lines: int):
                 h = hash_spans(buf, start, end)
                 rows = np.arange(hi - lo + 1)
                 bound = np.searchsorted(row, rows)
-                runs = list(_runs(h, bound[1:][row], min_lines))
-                at = np.concatenate([np.zeros(0, np.int64), *(x for x, _ in runs)])
+                runs = list(_runs(h, end - start, bound[1:][row], min_lines, min_chars))
+                at = np.concatenate([np.zeros(0, np.int64), *(x for _, x, _ in runs)])
                 order = np.argsort(at, kind="stable")
-                key = np.concatenate([np.zeros(0, np.uint64), *(x for _, x in runs)])[order]
+                key = np.concatenate([np.zeros(0, np.uint64), *(x for _, _, x in runs)])[order]
                 run_bound = np.searchsorted(row[at[order]], rows)
                 text = hash_spans(buf, offset[:-1], offset[1:])
                 cols = [pa.ListArray.from_arrays(pa.array(n, pa.int32()), pa.array(x, t)) for n, x, t in (
@@ -141,22 +151,27 @@ def blocks(matched: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
     return [tuple(x) for x in out]
 
 
-def _align(min_lines: int, min_chars: int):
+def _align(min_lines: int, min_chars: int, every_copy: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys, texts, gone = [], [], []
-            for key, text, mine, number, chars, theirs in zip(*(b.column(c) for c in (
-                    "later", "text_key", "line", "number", "chars", "owned"))):
+            for key, text, mine, number, chars, theirs, held in zip(*(b.column(c) for c in (
+                    "later", "text_key", "line", "number", "chars", "owned", "held"))):
                 size = chars.values.to_numpy()
-                where = number.values.to_numpy()
-                drop = []
+                drop = np.zeros(len(size), bool)
                 for _, j, n in blocks(patience(theirs.values.to_pylist(), mine.values.to_pylist())):
                     if n >= min_lines or int(size[j:j + n].sum()) >= min_chars:
-                        drop += where[j:j + n].tolist()
-                if drop:
+                        drop[j:j + n] = True
+                if every_copy and not drop.all():
+                    line = mine.values.to_numpy().view(np.uint64)
+                    known = held.values.to_numpy().view(np.uint64)
+                    for n, at, h in _runs(line, size, np.full(len(line), len(line)), min_lines, min_chars):
+                        for i in at[np.isin(h, known)].tolist():
+                            drop[i:i + n] = True
+                if drop.any():
                     keys.append(key.as_py())
                     texts.append(text.as_py())
-                    gone.append(drop)
+                    gone.append(number.values.to_numpy()[drop])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.int64()), pa.array(texts, pa.int64()), pa.array(gone, pa.list_(pa.int32()))],
                 ["later", "text_key", "gone"])
@@ -164,23 +179,23 @@ def _align(min_lines: int, min_chars: int):
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS) -> DataFrame:
+                   min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS, every_copy: bool = False) -> DataFrame:
     """(``doc_id``, ``text_key``, ``lines``): the numbers of the lines that each
     document loses; ``text_key`` is the hash of its text."""
     src = source(docs, id_col, text_col)
     table = stored(src.where("doc_id is not null").mapInArrow(
-        _line_table(min_lines), "doc_id long, text_key long, line array<long>, number array<int>, chars array<int>, run array<long>")
+        _line_table(min_lines, min_chars if every_copy else 0), "doc_id long, text_key long, line array<long>, number array<int>, chars array<int>, run array<long>")
         .where("size(line) > 0"), "lines")
     runs = table.select("doc_id", "text_key", F.explode(F.array_distinct("run")).alias("run"))
     shared = stored(runs.groupBy("run").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
                     .where("owner <> last").select("run", "owner"), "shared-runs")
     pairs = stored(runs.join(shared, "run").where("owner <> doc_id")
                    .select(F.col("doc_id").alias("later"), "text_key", "owner").distinct(), "line-pairs")
-    owned = table.select(F.col("doc_id").alias("owner"), F.col("line").alias("owned"))
+    owned = table.select(F.col("doc_id").alias("owner"), F.col("line").alias("owned"), F.col("run").alias("held"))
     aligned = (pairs.join(table.withColumnRenamed("doc_id", "later"), ["later", "text_key"])
                .join(owned, "owner")
-               .select("later", "text_key", "line", "number", "chars", "owned")
-               .mapInArrow(_align(min_lines, min_chars), "later long, text_key long, gone array<int>"))
+               .select("later", "text_key", "line", "number", "chars", "owned", "held")
+               .mapInArrow(_align(min_lines, min_chars, every_copy), "later long, text_key long, gone array<int>"))
     return (aligned.groupBy(F.col("later").alias("doc_id"), "text_key")
             .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("lines")))
 
@@ -219,9 +234,10 @@ def _text_keys(names: list[str], text_col: str):
 
 def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                            min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS,
-                           removed_col: str | None = None) -> DataFrame:
-    """``docs`` with the aligned common blocks deleted from the later documents;
-    ``removed_col`` names an added column with the number of deleted lines.
+                           removed_col: str | None = None, every_copy: bool = False) -> DataFrame:
+    """``docs`` with the common blocks deleted from the later documents;
+    ``removed_col`` names an added column with the number of deleted lines;
+    ``every_copy`` deletes repeated and reordered copies of a block too.
 
     "Later" is the larger id.  Null and empty texts, and rows with a null id,
     stay as they are and own nothing.  Rows of one id never lose lines to each
@@ -229,7 +245,7 @@ def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: st
     not compared and never deleted."""
     bounded_batches(docs.sparkSession)
     names = docs.columns
-    found = stored(repeated_lines(docs, id_col, text_col, min_lines, min_chars), "repeated-lines")
+    found = stored(repeated_lines(docs, id_col, text_col, min_lines, min_chars, every_copy), "repeated-lines")
     found = found.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text"), F.col("lines").alias("__lines"))
     fields = docs.schema.fields
     moved = [StructField(f.name, BinaryType()) if f.name == text_col else f for f in fields]

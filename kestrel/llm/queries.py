@@ -16,7 +16,7 @@ def tokenizer_file(name: str) -> str:
 
 def op1_patience_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_align.without_repeated_lines(load(spark, sf_dir, "documents").select("doc_id", "text"),
-                                            removed_col="n_removed")
+                                            removed_col="n_removed", every_copy=True)
     return out.select("doc_id", "n_removed", F.sha2("text", 256).alias("kept_sha256"), F.length("text").alias("kept_chars"))
 
 

@@ -390,6 +390,40 @@ def test_line_dedup_first_holder_of_block(spark):
     assert got == {**dict(enumerate(texts)), 3: "x5\nx6"}
 
 
+def held_before(rows, min_lines=2, min_chars=200):
+    """Per row, the lines in runs that any earlier document holds anywhere."""
+    def runs(t):
+        lines = [(n, x.strip(" \t\n\r\x0b\x0c")) for n, x in enumerate(t.split("\n"))]
+        lines = [x for x in lines if x[1]]
+        for size in range(1, min_lines + 1):
+            for part in (lines[i:i + size] for i in range(len(lines) - size + 1)):
+                if size == min_lines or sum(len(x.encode()) for _, x in part) >= min_chars:
+                    yield tuple(x for _, x in part), [n for n, _ in part]
+
+    first = {}
+    for i, t in rows:
+        for key, _ in runs(t) if i is not None else ():
+            first[key] = min(i, first.get(key, i))
+    out = []
+    for i, t in rows:
+        gone = {n for key, at in runs(t) if i is not None and first[key] < i for n in at}
+        out.append((i, "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone), len(gone)))
+    return out
+
+
+def test_line_dedup_every_copy(spark, docs, rows):
+    """Against all earlier documents: repeated copies, blocks in another order, other limits."""
+    more = [(20_001, "p1\np2\np3\np4\np5"), (20_002, "p1\np2\nq\np1\np2"), (20_003, "p4\np5\nq2\np1\np2\np3"),
+            (20_004, "p3\np2\np1"), (20_005, "w" * 150 + "\n" + "v" * 60 + "\nu"), (20_006, "t\n" + "w" * 150 + "\n" + "v" * 60),
+            (20_007, "s\n" + "w" * 220), (20_008, "w" * 220 + "\nr\n" + "w" * 220)]
+    table = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    for limits in ((2, 200), (3, 200)):
+        got = line_align.without_repeated_lines(table, min_lines=limits[0], min_chars=limits[1], removed_col="gone",
+                                                every_copy=True)
+        assert (sorted(((r.doc_id, r.text or "", r.gone) for r in got.collect()), key=repr)
+                == sorted(held_before(rows + more, *limits), key=repr))
+
+
 def test_pipeline_against_brute_force(spark, tmp_path):
     """Each stage on its own input, by plain Python."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
