@@ -54,6 +54,11 @@ class _Powers:
 _POWERS = _Powers()
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the odd base and of its inverse."""
+    return _POWERS.get(n)
+
+
 def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of every byte span (spans ordered, not overlapping)."""
     out = np.empty(len(starts), np.uint64)
