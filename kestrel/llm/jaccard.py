@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected
-from .tables import emit, gathered, group_starts, source, stored, width
+from .tables import emit, gathered, group_starts, source, stored, tidy, width
 from .texts import expand, packed, unpacked
 from .words import chunks, document_sets, mix, signed, split_words
 
@@ -61,6 +61,7 @@ def _sets(column: pa.Array, k: int):
 
 
 def _stats(k: int):
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi, row, size, sid, bound, value in _sets(b.column(1), k):
@@ -72,6 +73,7 @@ def _stats(k: int):
 
 
 def _low_tokens(k: int):
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for b in batches:
@@ -100,12 +102,14 @@ def _by_token(batches: Iterable[pa.RecordBatch]):
     return token, sid, np.repeat(count, count)
 
 
+@tidy
 def _count_shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     _, sid, df = _by_token(batches)
     ids, shared = np.unique(sid[df > 1], return_counts=True)
     yield from emit(["sid", "shared"], [ids, shared.astype(np.int64)])
 
 
+@tidy
 def _frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     token, sid, df = _by_token(batches)
     m = df > 1
@@ -113,6 +117,7 @@ def _frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _whole_sets(k: int):
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
@@ -126,6 +131,7 @@ def _whole_sets(k: int):
     return run
 
 
+@tidy
 def _explode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         sid = b.column("sid").to_numpy(zero_copy_only=False)
@@ -164,6 +170,7 @@ def choose_matches(df: np.ndarray, base: int) -> int:
 
 
 def _prefixes(percent: int):
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[list[np.ndarray]] = [[] for _ in range(9)]
@@ -207,6 +214,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("sid").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("sid").alias("b"), F.col("tokens").alias("y"))
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ok = np.zeros(b.num_rows, bool)
@@ -250,7 +258,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # a class whose rows all lack an id is found by its text, through the null-safe join
     wanted = able.select(F.col("first").alias("__first")).distinct()
     texts = packed(src, "text")
-    sets = stored(texts.join(wanted, texts.doc_id.eqNullSafe(F.col("__first")), "left_semi")
+    # sorted and merged at every size: packing and reading then stand in different tasks, one worker each
+    sets = stored(texts.join(wanted.hint("merge"), texts.doc_id.eqNullSafe(F.col("__first")), "left_semi")
                   .select("doc_id", "text")
                   .mapInArrow(_whole_sets(k), "sid long, first long, n long, tokens binary")
                   .join(able.select("sid"), "sid", "left_semi")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .crf import Chain, train
 from .line_labels import DOCUMENTS
-from .tables import bounded_batches, emit, group_starts, source
+from .tables import bounded_batches, emit, group_starts, source, tidy
 from .words import Words, chunks, hash_spans, shingle_hashes, split_words, text_bytes
 
 MIN_WORDS = 50
@@ -156,6 +156,7 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     other columns are not looked at."""
     model = line_model()
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi, cols in _measures(b.column(1), model):
@@ -171,6 +172,7 @@ def keep_content(docs: DataFrame, text_col: str = "text") -> DataFrame:
     bounded_batches(docs.sparkSession)
     model, names = line_model(), docs.columns
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = names.index(text_col)
         for b in batches:

@@ -4,15 +4,17 @@ Every task packs its own input partition in one pass, so nothing is shuffled.
 Whole windows are cut off a long document; what is left of it (less than a
 window) goes, online, to the fill level that minimises the sum over levels of
 the squared number of partly filled windows.  The only state is a level array
-of counts and the pieces of the open windows.  When the input ends, or when
-``max_open`` windows are open at once, the open windows are poured into full
-windows (documents may be cut anywhere), and the last rest into windows whose
-lengths are powers of two, which need no padding.  So padding is zero, memory
-is bounded, and nothing is dropped.
+of counts and the pieces of the open windows.  Documents may be cut anywhere, so
+when the input ends the fullest open windows, as the rule filled them, are topped
+up with the pieces of the emptiest ones, and the last rest goes into windows whose
+lengths are powers of two, which need no padding.  Where ``max_open`` windows are
+open at once, the fullest quarter is closed in that way and the others stay.  So
+padding is zero, memory is bounded, and nothing is dropped.
 """
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 from collections.abc import Iterable, Iterator
@@ -23,9 +25,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import source
+from .tables import source, tidy
 
-CACHE_WORDS = 300_000      # about 70 MB in a worker when full
+CACHE_BYTES = 56 << 20     # of a worker, with what Python adds to each entry; besides, the words of 256 texts
+_ENTRY = 190               # bytes of an entry besides its letters and ids
 _ODD = re.compile("[\x1c-\x1f\x01]")      # white space to Python only, and the border below
 _PLAIN = re.compile("[^\x01\x1c-\x1f\u0130-\U0010ffff]*\\Z")
 _OTHER_POINT = re.compile("[.,](?<![a-z0-9\xdf-\xf6\xf8-\u012f][.,])(?=[ \n])")
@@ -40,8 +43,8 @@ class WordCacheEncoder:
     ids of its white-space chunks in a row; likewise a single point or comma
     after a letter or digit is a token border of its own.  Each distinct chunk
     is encoded once by the tokenizer, in bulk: chunks of letters are told apart by
-    the end-of-word pieces, others by a border character between them.  The cache
-    is cut back to short words when it is full.  Texts below U+0130 are put in
+    the end-of-word pieces, others by a border character between them.  When the
+    cache is full, the words that came first stay, up to half of its bytes.  Texts below U+0130 are put in
     lower case first, as the tokenizer would do; there this changes no character
     count and there are no combining marks, so their chunks skip its normalizer,
     and those of letters its splitting pattern too.  Python's ``split`` also cuts
@@ -64,6 +67,7 @@ class WordCacheEncoder:
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self.cache: dict[str, bytes] = {}
+        self.held = 0
 
     def _add(self, words: list[str], tokenizer, between: str, cut) -> None:
         """Encode chunks in texts of 64; ``cut`` gives, of a text's ids, where
@@ -80,6 +84,7 @@ class WordCacheEncoder:
             raw, a = ids.tobytes(), 0
             for word, z, b in zip(group, (4 * ends).tolist(), (4 * nexts).tolist()):
                 self.cache[word] = raw[a:z]
+                self.held += _ENTRY + len(word) + z - a
                 a = b
 
     def _learn(self, words: list[str]) -> None:
@@ -114,24 +119,24 @@ class WordCacheEncoder:
         return low.split()
 
     def shrink(self) -> None:
-        """Keep the short words, which come again most often."""
-        self.cache = {w: x for w, x in self.cache.items() if len(w) <= 8}
+        """Frequent words come early: the first ones stay, up to half of the bytes."""
+        if self.held <= CACHE_BYTES:
+            return
+        self.held = kept = 0
+        for w, x in self.cache.items():
+            self.held += _ENTRY + len(w) + len(x)
+            if self.held > CACHE_BYTES // 2:
+                break
+            kept += 1
+        self.cache = dict(itertools.islice(self.cache.items(), kept))
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        self.shrink()
         parts = [self._parts(t) for t in texts]
-        get = self.cache.get
-        found = [None if p is None else list(map(get, p)) for p in parts]
-        missing = {w for p, f in zip(parts, found) if p and None in f for w, x in zip(p, f) if x is None}
-        if len(self.cache) + len(missing) > CACHE_WORDS:
-            self.shrink()
+        missing = set().union(*(p for p in parts if p)).difference(self.cache)
         self._learn(list(missing))
-        get = self.cache.get
-        out = []
-        for text, p, f in zip(texts, parts, found):
-            if p and None in f:
-                f = [get(w) if x is None else x for w, x in zip(p, f)]
-            out.append(self._ids(text) if p is None else b"".join(f))
-        return out
+        get = self.cache.__getitem__
+        return [self._ids(text) if p is None else b"".join(map(get, p)) for text, p in zip(texts, parts)]
 
 
 _ENCODERS: dict[str, WordCacheEncoder] = {}
@@ -183,10 +188,44 @@ class LevelArray:
         self.open += 1
         return None
 
-    def drain(self) -> list[tuple]:
-        pieces = [p for level in sorted(self.windows, reverse=True) for w in self.windows[level] for p in w]
+    def close(self, most: int | None = None) -> Iterator[list[tuple]]:
+        """Take the fullest windows (at most ``most`` of them, or all), topped up
+        with the pieces of the emptiest ones; of all, the rest follows in windows
+        of powers of two.  Other windows stay open."""
+        order = [w for level in sorted(self.windows, reverse=True) for w in self.windows[level]]
         self.__init__(self.capacity)
-        return pieces
+        spare: list[tuple] = []
+        first, last = 0, len(order) - 1
+        while first <= last and (most is None or first < most):
+            window = order[first]
+            room = self.capacity - _length(window)
+            while room and (spare or last > first):
+                if not spare:
+                    spare = order[last]
+                    last -= 1
+                doc, start, ids, total = spare.pop()
+                n = min(room, len(ids) // 4)
+                window.append((doc, start, ids[:4 * n], total))
+                if 4 * n < len(ids):
+                    spare.append((doc, start + n, ids[4 * n:], total))
+                room -= n
+            if room:                                     # the last window: no pieces are left for it
+                break
+            yield window
+            first += 1
+        if most is None:
+            yield from _cut([p for w in order[first:last + 1] for p in w] + spare, self.capacity)
+            return
+        for window in [*order[first:last + 1], spare]:
+            if window:
+                level = _length(window)
+                self.windows.setdefault(level, []).append(window)
+                self._count(level)
+                self.open += 1
+
+
+def _length(window: list[tuple]) -> int:
+    return sum(len(p[2]) // 4 for p in window)
 
 
 def _cut(pieces: list[tuple], capacity: int) -> Iterator[list[tuple]]:
@@ -220,6 +259,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
     null id stays null, an empty table gives no rows, and other columns are not
     looked at.  ``sequence_id`` holds the task's partition in its high bits."""
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, levels = encoder_of(tokenizer_path), LevelArray(capacity)
         end = np.array([end_id], "<u4").tobytes()
@@ -258,11 +298,10 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
                         if full:
                             done.append(full)
                     if levels.open >= max_open:
-                        done += _cut(levels.drain(), capacity)
+                        done += levels.close(max_open // 4)
                     if len(done) >= 256:
                         yield rows()
-        encoder.shrink()
-        done += _cut(levels.drain(), capacity)
+        done += levels.close()
         if done:
             yield rows()
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,36 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(_BATCH_BYTES, "8m")
 
 
+def tidy(run: Callable) -> Callable:
+    """A function for ``mapInArrow`` that hands free memory back to the system
+    when its partition ends: the Python worker lives on, idle or not, beside the
+    workers of other stages."""
+
+    @functools.wraps(run)
+    def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)       # of glibc
+            if trim:
+                trim(0)
+
+    return whole
+
+
+def unused(names: list[str], *wanted: str) -> list[str]:
+    """The wanted column names, each with as many underscores more as it needs
+    to differ from ``names`` (in any case of letters)."""
+    taken, out = {n.lower() for n in names}, []
+    for w in wanted:
+        while w.lower() in taken:
+            w += "_"
+        taken.add(w.lower())
+        out.append(w)
+    return out
+
+
 def source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The two columns that an operator reads, under fixed names and types."""
     bounded_batches(docs.sparkSession)

@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
+from .tables import tidy
+
 _ROWS = 512
 
 
@@ -29,6 +31,7 @@ def _mapped(df: DataFrame, col: str, kind, change, arrow: pa.DataType) -> DataFr
     fields = [StructField(f.name, kind if f.name == col else f.dataType) for f in df.schema.fields]
     at = df.columns.index(col)
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, _ROWS):

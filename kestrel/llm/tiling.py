@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import bounded_batches, source
+from .tables import bounded_batches, source, tidy
 from .words import SEPARATOR, Words, chunks, shingle_hashes, split_words
 
 SEED = 5
@@ -154,6 +154,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     src = source(docs, id_col, text_col)
 
     def pairs(shared) -> DataFrame:
+        @tidy
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block = shared.value
             for b in batches:

@@ -464,3 +464,57 @@ def test_word_hashes_do_not_depend_on_the_batch():
     parts = [words.split_words(*words.text_bytes(pa.array([t], pa.string()))).hashes() for t in texts]
     assert whole.hashes().tolist() == np.concatenate(parts).tolist()
     assert whole.count.tolist() == [3, 0, 0, 3, 1]
+
+
+def _open(levels):
+    return sorted(p[:2] for ws in levels.windows.values() for w in ws for p in w)
+
+
+def test_closing_keeps_the_fullest_windows_as_the_rule_filled_them():
+    rng = np.random.default_rng(4)
+    levels, full, size = packing.LevelArray(64), [], {}
+    for doc, n in enumerate(rng.integers(1, 64, 500).tolist()):
+        size[doc] = n
+        window = levels.place((doc, 0, b"\0\0\0\0" * n, n), n)
+        full += [window] if window else []
+    order = [list(w) for level in sorted(levels.windows, reverse=True) for w in levels.windows[level]]
+    some = list(levels.close(5))
+    assert [w[:len(o)] for w, o in zip(some, order)] == order[:5] and len(some) == 5
+    assert all(packing._length(w) == 64 for w in some + full)
+    assert levels.open == sum(map(len, levels.windows.values())) and all(
+        packing._length(w) == level for level, ws in levels.windows.items() for w in ws)
+    some += levels.close()
+    assert levels.open == 0 and not levels.windows
+    got = collections.Counter()
+    for w in some + full:
+        n = packing._length(w)
+        assert n == 64 or n & (n - 1) == 0
+        for doc, start, ids, total in w:
+            got[doc] += len(ids) // 4
+    assert got == size
+    assert list(levels.close()) == [] and list(levels.close(3)) == []
+
+
+def test_every_deletion_is_an_alignment(monkeypatch):
+    theirs, size = [1, 2, 3, 4, 5, 6, 1, 9], np.full(9, 10)
+    mine = [5, 6, 7, 1, 2, 8, 1, 2, 6]
+    runs = np.concatenate([h for _, _, h in line_align._runs(np.array(theirs, np.uint64), size[:8], np.full(8, 8), 2, 200)])
+    assert line_align.deleted(theirs, mine, size, 2, 200, runs).tolist() == [True] * 2 + [False] + [True] * 2 + [False] + [True] * 2 + [False]
+    assert line_align.deleted([1, 9, 1, 2], [1, 2], size[:2], 2, 200).all()
+    assert line_align.longest_run([4, 1, 2, 3, 1, 2], [7, 1, 2, 1, 2, 3, 8]) == (1, 3, 3)
+    monkeypatch.setattr(line_align, "patience", lambda a, b: [])
+    assert not line_align.deleted(theirs, mine, size, 2, 200, runs).any()
+
+
+def test_line_dedup_with_clashing_names(spark):
+    block = "first line of a block\nsecond line of a block\n"
+    names = ["__lines", "__key", "__id", "__text", "__removed", "lines", "key", "id", "hash", "removed", "KEY_", "cut", "gone"]
+    rows = [(1, block + "a", *range(len(names))), (2, "b\n" + block + "c", *range(len(names)))]
+    df = spark.createDataFrame(rows, ["doc_id", "text", *names])
+    got = line_align.without_repeated_lines(df, every_copy=True)
+    assert got.columns == df.columns
+    assert [(r.doc_id, r.text, *r[2:]) for r in got.orderBy("doc_id").collect()] == [
+        rows[0], (2, "b\nc", *range(len(names)))]
+    got = line_align.without_repeated_lines(df, every_copy=True, removed_col="gone")
+    assert [r.gone for r in got.orderBy("doc_id").collect()] == [0, 2] and got.columns.count("gone") == 1
+    assert corpus_pipeline.line_dedup(spark, df, SF).columns == df.columns
