@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from kestrel.llm import jaccard, line_align, line_quality, packing, tiling
 from kestrel.llm.queries import tokenizer_file
-from kestrel.llm.tables import stored
+from kestrel.llm.tables import stored, unused
 from kestrel.sources.tables import load
 
 
@@ -26,10 +26,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Blocks of lines that an earlier document has go from the later one; a
     document of which nothing is left goes.  ``n_chars`` follows the text."""
-    out = line_align.without_repeated_lines(docs, removed_col="__cut", every_copy=True)
-    out = out.where(F.expr(r"__cut = 0 or rlike(text, '[^\\x20\\x09-\\x0D]')"))
+    cut, = unused(docs.columns, "cut")
+    out = line_align.without_repeated_lines(docs, removed_col=cut, every_copy=True)
+    out = out.where((F.col(cut) == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__cut") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
+        out = out.withColumn("n_chars", F.when(F.col(cut) > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
                              .otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
 
