@@ -38,8 +38,8 @@ def simple_tokenize(text) -> Column:
 def remove_stop_words(tokens, stop_words=None) -> Column:
     """Drop stop words, keeping duplicates of the other tokens (so not
     ``array_except``, which de-duplicates)."""
-    stop = F.array(*[F.lit(w) for w in (STOP_WORDS if stop_words is None else stop_words)])
-    return F.filter(_c(tokens), lambda t: ~F.array_contains(stop, t))
+    stop = list(STOP_WORDS if stop_words is None else stop_words)      # a hashed set in the plan
+    return F.filter(_c(tokens), lambda t: ~t.isin(stop)) if stop else _c(tokens)
 
 
 def tokenize(text, stop_words=None) -> Column:
