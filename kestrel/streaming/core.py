@@ -194,36 +194,77 @@ def finish(q) -> None:
         raise q.exception()
 
 
-def run_to_table(df: DataFrame, name: str, mode: str = "complete") -> DataFrame:
-    """Drain a stream over everything currently available (``availableNow``).
+def run_to_files(df: DataFrame, name: str, checkpoint: str | None = None, path: str | None = None) -> DataFrame:
+    """Drain an append-mode stream over everything that is there
+    (``availableNow``) into parquet files of the shared folder, and read them
+    back.  With ``checkpoint`` and ``path`` of an earlier run it goes on there."""
+    spark = df.sparkSession
+    path = path or scratch_path(spark, f"sink-{name}")
+    finish(start(df, "parquet", "append", name=name, checkpoint=checkpoint, path=path, trigger={"availableNow": True}))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def run_to_state(df: DataFrame, name: str, mode: str = "update", checkpoint: str | None = None):
+    """Drain a stream whose results are rewritten (update or complete mode) and
+    return (query, checkpoint).  Nothing is collected: file sinks cannot rewrite
+    rows, so the sink discards them, and the results are read from where Spark
+    keeps them anyway, the state in the shared folder (``state_rows``)."""
+    checkpoint = checkpoint or scratch_path(df.sparkSession, f"stream-{name}")
+    q = start(df, "noop", mode, name=name, checkpoint=checkpoint, trigger={"availableNow": True})
+    finish(q)
+    return q, checkpoint
+
+
+# The state of an aggregate holds, after its keys, the buffers of its functions in their order.
+COUNT_STATE = "count bigint"
+SYMBOL_STATE = ("total_qty bigint, total_value double, price_sum double, price_n bigint, min_price double, "
+                "max_price double")
+
+
+def state_rows(spark: SparkSession, checkpoint: str, buffers: str) -> DataFrame:
+    """The state of a stream's one stateful operator after its last batch, read by
+    Spark's state-store source in a task per state partition: the columns of the
+    key, and the value's fields by the names and types of ``buffers``, in order."""
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select("key.*", F.col("value").cast(f"struct<{_as_struct(buffers)}>").alias("value")).select(
+        *[F.col(f"`{c}`") for c in state.schema["key"].dataType.names], "value.*")
+
+
+def _as_struct(ddl: str) -> str:
+    return ", ".join(f"{n}: {t}" for n, t in (x.split() for x in ddl.split(",")))
+
 
-    Append mode goes to parquet files in the shared folder, read back as a
-    table; the other modes rewrite rows, which file sinks cannot, and go to a
-    memory table, so their results have to be small."""
-    if mode == "append":
-        path = scratch_path(df.sparkSession, f"sink-{name}")
-        finish(start(df, "parquet", mode, name=name, path=path, trigger={"availableNow": True}))
-        return df.sparkSession.read.schema(df.schema).parquet(path)
-    finish(start(df, "memory", mode, name=name, trigger={"availableNow": True}))
-    return df.sparkSession.table(name)
+def custom_state_rows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The keys and states of a custom stateful operator after its last batch."""
+    return spark.read.format("statestore").load(checkpoint).select("key.*", "value.groupState.*")
 
 
 def progress_frame(spark: SparkSession, query) -> DataFrame:
-    """Recent progress of a query as a DataFrame (id, batch, rows,
-    rates, durations)."""
+    """Progress of the last batches of a query (Spark keeps the number that
+    ``spark.sql.streaming.numRecentProgressUpdates`` says) as a DataFrame."""
     rows = [(p["id"], p["runId"], p["batchId"], p.get("numInputRows", 0), p.get("inputRowsPerSecond"),
-             p.get("processedRowsPerSecond"), p.get("durationMs", {}).get("triggerExecution"))
+             p.get("processedRowsPerSecond"), p.get("durationMs", {}).get("triggerExecution"),
+             sum(o.get("numRowsTotal", 0) for o in p.get("stateOperators", [])))
             for p in query.recentProgress]
     return spark.createDataFrame(rows, "id string, run_id string, batch_id long, input_rows long, "
-                                       "input_rps double, processed_rps double, trigger_ms long")
-
-
-def batch_end_offsets(query) -> list[tuple[int, str]]:
-    """(batch id, end offset JSON) of each recent batch — the values a
-    new query can take as ``startingOffsets``; polled from progress, so no
-    callback channel is needed."""
-    out = []
-    for p in query.recentProgress:
-        for s in p.get("sources", []):
-            out.append((p["batchId"], str(s.get("endOffset"))))
-    return out
+                                       "input_rps double, processed_rps double, trigger_ms long, state_rows long")
+
+
+def batch_files(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(batch_id, path) of every file that a file stream has read, from the
+    source log in its checkpoint: the recorded offsets of each batch, all that the
+    log still holds, without a callback."""
+    entry = F.from_json("value", "path string, timestamp long, batchId long")
+    log = spark.read.text(f"{checkpoint}/sources/0/*").where(F.col("value").startswith("{")).select(entry.alias("e"))
+    return log.select(F.col("e.batchId").alias("batch_id"), "e.path").distinct()
+
+
+def batch_offsets(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(batch_id, watermark_ms, offset) of the batches in a checkpoint's
+    offset log: what a restarted query begins from."""
+    from pyspark.sql.types import LongType
+    lines = spark.read.text(f"{checkpoint}/offsets/*").select(
+        F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)$", 1).cast(LongType()).alias("batch_id"), "value")
+    mark = F.get_json_object("value", "$.batchWatermarkMs").cast(LongType())
+    offset = F.when(F.get_json_object("value", "$.logOffset").isNotNull(), F.col("value"))
+    return lines.groupBy("batch_id").agg(F.max(mark).alias("watermark_ms"), F.max(offset).alias("offset"))
