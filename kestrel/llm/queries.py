@@ -59,7 +59,7 @@ def op10_nb_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return collocations.collocations(load(spark, sf_dir, "documents")).drop("doc_id", "at")
+    return collocations.collocations(load(spark, sf_dir, "documents")).drop("doc_id")
 
 
 def op12_piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
