@@ -65,6 +65,26 @@ def sum_udf(v: pd.Series) -> float:
     return float(v.sum())
 
 
+# K7 / D39 for groups of any size: a pandas state per Arrow batch, merged by built-in sums.
+def mergeable_sums(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """(keys, total, n, mean) of the non-null values of every group.
+
+    A plain pandas aggregate gets each group whole in one Python task.  Here pandas
+    sums what an Arrow batch holds of each group, and Spark adds up those states,
+    in the tasks first and then by key, so a hot group is a row per task.  Null keys
+    are a group; a group of nulls has total 0, n 0 and a null mean."""
+    src = df.select(*keys, F.col(value).cast("double").alias("__v"))
+    schema = T.StructType([*(src.schema[k] for k in keys), T.StructField("__s", T.DoubleType()), T.StructField("__n", T.LongType())])
+
+    def fn(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            g = pdf.groupby(keys, dropna=False, sort=False)["__v"]
+            yield g.agg(__s="sum", __n="count").reset_index()
+
+    return (src.mapInPandas(fn, schema).groupBy(*keys).agg(F.sum("__s").alias("total"), F.sum("__n").alias("n"))
+               .withColumn("mean", F.try_divide("total", "n")))
+
+
 # K8: grouped map — subtract the group mean.  Each group arrives whole in
 # one task; use for bounded groups.  The native twin (window average) is
 # ``subtract_mean_native`` and is what the catalogue runs at scale.

@@ -12,6 +12,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import placed_by_range
+
 
 def stats(df: DataFrame, col: str) -> DataFrame:
     """Count, mean, population stddev, max, min in one pass."""
@@ -108,6 +110,53 @@ def histogram_bounds(df: DataFrame, col: str, bounds: list[float]) -> DataFrame:
         "bucket", "lower", "upper", F.coalesce("count", F.lit(0)).cast("long").alias("count"))
 
 
+def percentile_by_rank(df: DataFrame, keys: list[str], value: str, fractions: dict[str, float]) -> DataFrame:
+    """Exact percentiles per group, interpolated between neighbours as
+    ``percentile`` does, for groups of any size: (keys, a column per fraction).
+
+    ``percentile`` keeps every value of a group in one task.  Here equal values are
+    counted first (so a frequent value is one row), the counts are dealt by ranges
+    of (keys, value), and one sum per group and range tells which range holds a
+    wanted rank; only those ranges are then read in order.  Nulls are left out; a
+    group of nulls has null percentiles; null keys are a group."""
+    counts = df.groupBy(*keys, F.col(value).alias("__v")).agg(F.count(value).alias("__c"))
+    rows = placed_by_range(counts, [*keys, "__v"], "percentile").drop("__place")
+    ranges = rows.groupBy(*keys, "__pid").agg(F.sum("__c").alias("__n"))
+    group = Window.partitionBy(*keys)
+    ranges = (ranges.withColumn("__total", F.sum("__n").over(group))
+              .withColumn("__before", F.sum("__n").over(group.orderBy("__pid").rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n")))
+    wanted = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(float(q)).alias("q")) for name, q in fractions.items()])
+    place = F.col("__w.q") * (F.col("__total") - 1)
+    targets = (ranges.where("__total > 0").withColumn("__w", F.explode(wanted))
+               .withColumn("__rank", F.explode(F.array_distinct(F.array(F.floor(place), F.ceil(place)))))
+               .where("__rank >= __before AND __rank < __before + __n"))
+    targets = targets.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__pid").alias("__tp"), "__before",
+                             F.col("__w.name").alias("__name"), place.alias("__place"), "__rank")
+    same = F.col("__pid") == F.col("__tp")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    spots = targets.select("__tp", *[f"__k{i}" for i in range(len(keys))]).distinct()
+    inside = Window.partitionBy(*keys, "__pid").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    upto = (rows.where("__c > 0").join(spots, same, "left_semi")
+            .withColumn("__upto", F.sum("__c").over(inside)))
+    hit = upto.join(targets, same & (F.col("__rank") - F.col("__before") < F.col("__upto"))
+                    & (F.col("__rank") - F.col("__before") >= F.col("__upto") - F.col("__c")))
+    low, high = F.min(F.struct("__rank", "__v")), F.max(F.struct("__rank", "__v"))
+    named = hit.groupBy(*keys, "__name", "__place").agg(low.alias("__lo"), high.alias("__hi")).withColumn(
+        "__value", F.col("__lo.__v") + (F.col("__hi.__v") - F.col("__lo.__v")) * (F.col("__place") - F.floor("__place")))
+    out = named.groupBy(*keys).agg(*[F.max(F.when(F.col("__name") == n, F.col("__value"))).alias(n) for n in fractions])
+    return _null_safe_left(ranges.select(*keys).distinct(), out, keys)
+
+
+def _null_safe_left(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on keys that may be null."""
+    renamed = right.withColumnsRenamed({k: f"__k{i}" for i, k in enumerate(keys)})
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    return left.join(renamed, same, "left").drop(*[f"__k{i}" for i in range(len(keys))])
+
+
 def weighted_entropy(df: DataFrame, cluster: str, label: str) -> DataFrame:
     """Σ_clusters n_c · H(labels in c) / N — size-weighted label entropy
     (natural log).  Two small aggregates; no per-cluster collect."""

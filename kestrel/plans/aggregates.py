@@ -211,8 +211,8 @@ FROM orders GROUP BY o_orderstatus
 """)
 def _(spark, sf):
     o = T(spark, sf).orders
-    return o.groupBy("o_orderstatus").agg(F.round(F.percentile("o_totalprice", 0.5), 4).alias("median"),
-                                          F.round(F.percentile("o_totalprice", 0.9), 4).alias("p90"))
+    p = A.percentile_by_rank(o, ["o_orderstatus"], "o_totalprice", {"median": 0.5, "p90": 0.9})
+    return p.select("o_orderstatus", F.round("median", 4).alias("median"), F.round("p90", 4).alias("p90"))
 
 
 @query("percentile_approx_sketch", "D33,D36", note="rows-only: approximate sketches differ by engine")
@@ -274,8 +274,8 @@ FROM orders GROUP BY o_orderstatus
 """)
 def _(spark, sf):
     o = T(spark, sf).orders
-    return o.groupBy("o_orderstatus").agg(F.round(U.mean_udf("o_totalprice"), 4).alias("mean_price"),
-                                          F.round(U.sum_udf("o_totalprice"), 2).alias("sum_price"))
+    s = U.mergeable_sums(o, ["o_orderstatus"], "o_totalprice")
+    return s.select("o_orderstatus", F.round("mean", 4).alias("mean_price"), F.round("total", 2).alias("sum_price"))
 
 
 @query("vector_elementwise_sum", "D40", """

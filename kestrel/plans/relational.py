@@ -347,7 +347,8 @@ def _(spark, sf):
 SELECT c.event_id, c.user_id, strftime(c.ts, '%Y-%m-%d %H:%M:%S.%f') AS ts,
        p.value AS last_purchase_value, COALESCE(p.event_id, -1) AS last_purchase_id
 FROM (SELECT * FROM events WHERE event_type = 'click') c
-ASOF LEFT JOIN (SELECT user_id, ts, value, event_id FROM events WHERE event_type = 'purchase') p
+ASOF LEFT JOIN (SELECT user_id, ts, value, event_id FROM events WHERE event_type = 'purchase'
+                QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY value DESC NULLS LAST, event_id DESC) = 1) p
   ON c.user_id = p.user_id AND c.ts >= p.ts
 """)
 def _(spark, sf):

@@ -153,7 +153,7 @@ SELECT host, round(sum(content_size), 2) AS total_size FROM logs GROUP BY host
 """)
 def _(spark, sf):
     lg = logs(spark, sf).withColumn("content_size", F.col("content_size").cast("double"))
-    return lg.groupBy("host").agg(F.round(U.sum_udf("content_size"), 2).alias("total_size"))
+    return U.mergeable_sums(lg, ["host"], "content_size").select("host", F.round("total", 2).alias("total_size"))
 
 
 @query("log_size_by_status_protocol", "L19,F2", _LOGS + """

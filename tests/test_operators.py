@@ -3,6 +3,7 @@ the survey lists) and operator properties."""
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from kestrel.functions import arrays as AR
@@ -158,3 +159,65 @@ def test_mean_auc_leaves_out_users_without_pairs(spark):
     neg = spark.createDataFrame([(1, 3), (3, 2)], "user int, item int")
     row = mean_auc(Scores(), pos, neg, "user", "item").first()
     assert (row.mean_auc, row.users) == (0.5, 2)
+
+
+@pytest.fixture
+def many_ranges(spark):
+    """Small tables keep all their ranges, so what one hands to the next is exercised."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_asof_join_spreads_hot_keys_and_settles_ties(spark, many_ranges):
+    import random
+    from kestrel.operators import joins as J
+    rand = random.Random(3)
+    left = [(rand.choice([1, 1, 1, 1, 2, None]), rand.choice([rand.randrange(400), rand.randrange(400), None]), i) for i in range(800)]
+    right = [(rand.choice([1, 1, 1, 2, None]), rand.choice([rand.randrange(400), None]), rand.randrange(5), i) for i in range(300)]
+    l = spark.createDataFrame(left, "k int, t int, n int").repartition(4)
+    r = spark.createDataFrame(right, "k int, t int, a int, b int").repartition(4)
+    got = {x.n: (x.a, x.b) for x in J.asof_join_backward(l, r, ["k"], "t", ["a", "b"]).collect()}
+    want = {}
+    for k, t, n in left:
+        best = max(((rt, a, b) for rk, rt, a, b in right if k is not None and rk == k and rt is not None and t is not None and rt <= t),
+                   default=(None, None, None))
+        want[n] = best[1:]
+    assert got == want
+    parts = J.placed_by_range(l, ["k", "t"], "hot").groupBy("__pid").count().count()
+    assert parts > 2
+
+
+def test_percentile_by_rank_equals_percentile(spark, many_ranges):
+    import random
+    from kestrel.operators import aggregate as A
+    rand = random.Random(9)
+    rows = [(rand.choice(["a", "a", "a", "b", None]), rand.choice([1.0, 1.0, 1.0, rand.random(), None]), i) for i in range(500)]
+    rows += [("c", None, 0), ("d", 7.5, 0)]
+    df = spark.createDataFrame(rows, "k string, v double, i int").repartition(5)
+    qs = {"p0": 0.0, "p3": 0.3, "median": 0.5, "p99": 0.99, "p1": 1.0}
+    got = {r.k: tuple(r[1:]) for r in A.percentile_by_rank(df, ["k"], "v", qs).collect()}
+    want = {r.k: tuple(r[1:]) for r in df.groupBy("k").agg(*[F.percentile("v", q).alias(n) for n, q in qs.items()]).collect()}
+    assert set(got) == set(want)
+    for k in want:
+        assert all((a is None and b is None) or abs(a - b) < 1e-12 for a, b in zip(got[k], want[k]))
+    assert A.percentile_by_rank(df.limit(0), ["k"], "v", qs).count() == 0
+
+
+def test_segmented_sieve(spark):
+    from kestrel.operators.numeric import prime_flags, primes_upto
+    plain = [n for n in range(2, 5001) if all(n % d for d in range(2, int(n ** 0.5) + 1))]
+    for segment in (7, 64, 4999, 1 << 20):
+        assert sorted(r.n for r in primes_upto(spark, 5000, segment).collect()) == plain
+    assert primes_upto(spark, 1).count() == 0
+    df = spark.createDataFrame([(v,) for v in (-3, 0, 1, 2, 9, 97, 97, None)], "x long")
+    assert [(r.x, r.is_prime) for r in prime_flags(df, "x", 10).orderBy("x").collect()] == [
+        (None, False), (-3, False), (0, False), (1, False), (2, True), (9, False), (97, True), (97, True)]
+    assert prime_flags(df.limit(0), "x").count() == 0
+
+
+def test_mergeable_pandas_sums(spark):
+    from kestrel.functions import udfs
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("a", None), (None, 2.0), ("n", None)] * 50, "k string, v double").repartition(6)
+    got = {r.k: (r.total, r.n, r["mean"]) for r in udfs.mergeable_sums(df, ["k"], "v").collect()}
+    assert got == {"a": (200.0, 100, 2.0), None: (100.0, 50, 2.0), "n": (0.0, 0, None)}
