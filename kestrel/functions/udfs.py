@@ -115,9 +115,24 @@ def filter_batches(df: DataFrame, col: str, threshold: float) -> DataFrame:
 
 # Ship helper modules to executors.
 def ship_module(spark, path: str) -> None:
+    """Send a module file to all executors, now and later ones; tasks then import
+    it by its bare name."""
     spark.sparkContext.addPyFile(path)
 
 
+def with_shipped_digit_sum(df: DataFrame, text: str, out: str) -> DataFrame:
+    """A column made by a module that is shipped to the executors."""
+    from . import shipped_helper
+    ship_module(df.sparkSession, shipped_helper.__file__)
+
+    @F.pandas_udf(T.LongType())
+    def digits(s: pd.Series) -> pd.Series:
+        import shipped_helper as helper              # the shipped file, not this package
+        return s.map(helper.digit_sum).astype("int64")
+
+    return df.withColumn(out, digits(text))
+
+
 # Python table function (one row in, several rows out).
 def make_split_udtf():
     from pyspark.sql.functions import udtf

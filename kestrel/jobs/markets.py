@@ -102,8 +102,8 @@ def bull_put_spread(options: DataFrame, index_close: DataFrame, sell_steps: int,
     price both legs at that day's close, settle at the index close on the
     expiry date.  Legs are made unique per (trade date, expiry, strike)
     first, so the sell × buy join is 1:1 (fixes the reference's always-true
-    predicate).  The index-close table has one row per calendar day; it is
-    broadcast only under a checked row bound."""
+    predicate).  The index-close table has one row per calendar day; Spark plans
+    its joins by size."""
     idx = index_close.select(F.col(idx_date).alias("__d"), F.col(idx_close).alias("__c"))
     puts = (options.where(F.col(opt) == "PE")
                    .groupBy(trade_date, expiry, strike).agg(F.avg(close).alias("__px")))

@@ -4,7 +4,7 @@ only fix the conventions (explicit names, deterministic tie-breaks)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -55,6 +55,35 @@ def partition_sizes(df: DataFrame) -> DataFrame:
     return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def session_with_width(spark: SparkSession, width: int) -> SparkSession:
+    """a session of its own (the caller's settings stay) whose shuffles have
+    exactly ``width`` partitions: adaptive planning would merge small ones."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", width)
+    own.conf.set("spark.sql.adaptive.enabled", "false")
+    return own
+
+
+def foreach_counted(df: DataFrame, flagged) -> tuple[int, int]:
+    """visit every row for its side effect, here two counters that the tasks
+    add to (once per partition) and the driver reads back: rows, and rows that
+    ``flagged(row)`` holds for.  Spark adds a task's update once, however often the
+    task ran."""
+    sc = df.sparkSession.sparkContext
+    seen, hits = sc.accumulator(0), sc.accumulator(0)
+
+    def visit(rows) -> None:
+        n = h = 0
+        for r in rows:
+            n += 1
+            h += bool(flagged(r))
+        seen.add(n)
+        hits.add(h)
+
+    df.foreachPartition(visit)
+    return seen.value, hits.value
+
+
 def partition_by_rule(df: DataFrame, rule: Column, n: int) -> DataFrame:
     """F16: custom partitioner — rows go to partition ``rule`` (an int in
     [0, n)).  Uses ``repartitionById`` (direct partition ids, no hashing)."""

@@ -9,10 +9,13 @@ open interest = l_tax · 100.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..jobs import markets as M
+from ..session import scratch_path
 from ..sources.tables import Tables
 from .registry import query
 
@@ -186,4 +189,26 @@ def _(spark, sf):
         F.round(F.sum("l_extendedprice"), 2).alias("cash_value"), F.sum("l_quantity").cast("bigint").alias("cash_qty"))
     der = li.where("l_linestatus = 'O'").groupBy("symbol").agg(
         F.round(F.sum("l_extendedprice"), 2).alias("fo_value"), F.sum("l_quantity").cast("bigint").alias("fo_contracts"))
-    return cash.join(der, "symbol")
+    path = scratch_path(spark, "totals")
+    cash.join(der, "symbol").write.parquet(path)              # the job saves its result
+    return spark.read.parquet(path)
+
+
+@query("put_call_ratio_saved_by_month", "L1,A13,A14,D27", _FO_SQL + """,
+g AS (SELECT rts, SYMBOL, EXPIRY_DT, sum(CASE WHEN OPTION_TYP = 'PE' THEN CONTRACTS END) AS PE,
+             sum(CASE WHEN OPTION_TYP = 'CE' THEN CONTRACTS END) AS CE, sum(CASE WHEN OPTION_TYP = 'XX' THEN CONTRACTS END) AS XX
+      FROM fo WHERE INSTRUMENT <> 'FUTSTK' GROUP BY 1, 2, 3)
+SELECT CAST(year(rts) AS INTEGER) AS YEAR, CAST(month(rts) AS INTEGER) AS MONTH, count(*) AS contracts,
+       count(PE / NULLIF(CE, 0)) AS with_ratio, floor(sum(PE / NULLIF(CE, 0)) * 1e4 + 0.5) / 1e4 AS sum_ratio,
+       CAST(sum(XX) AS BIGINT) AS futures_like
+FROM g GROUP BY 1, 2
+""")
+def _(spark, sf):
+    """The pivoted ratios written as a partitioned table and read back from it."""
+    g = M.group_contracts(fo_standin(spark, sf), ["rts", "SYMBOL", "INSTRUMENT", "EXPIRY_DT", "OPTION_TYP"])
+    pcr = M.pcr_pivot(g, ["rts", "SYMBOL", "EXPIRY_DT"]).withColumns({"YEAR": F.year("rts"), "MONTH": F.month("rts")})
+    name = f"kestrel_pcr_{uuid.uuid4().hex[:8]}"
+    M.write_partitioned(pcr.repartition("YEAR", "MONTH"), scratch_path(spark, name), partition_cols=("YEAR", "MONTH"), table=name)
+    return spark.table(name).groupBy("YEAR", "MONTH").agg(
+        F.count(F.lit(1)).alias("contracts"), F.count("PCR").alias("with_ratio"),
+        fixed(F.sum("PCR"), 4).alias("sum_ratio"), F.sum("XX").cast("bigint").alias("futures_like"))

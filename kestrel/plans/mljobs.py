@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..ml import jobs as ML
+from ..ml import recommender as REC
+from ..session import written
 from ..sources.tables import Tables
 from .registry import query
 
@@ -57,19 +59,109 @@ def _(spark, sf):
     return spark.createDataFrame([(float(rmse), float(r2))], "rmse double, r2 double")
 
 
-@query("als_recommend_and_auc", "L39,L40,M11,F11,C14", note="rows-only: ALS factors are solver-dependent")
+_PLAYS_SQL = """
+WITH lines AS (SELECT CASE WHEN p_partkey % 11 = 0 THEN p_name WHEN p_partkey % 13 = 0 THEN p_partkey || chr(9) || '  '
+                           ELSE p_partkey || chr(9) || p_name END AS value FROM part),
+named AS (SELECT TRY_CAST(string_split(value, chr(9))[1] AS BIGINT) AS id, trim(string_split(value, chr(9))[2]) AS name FROM lines),
+names AS (SELECT id, name FROM named WHERE id IS NOT NULL AND name <> ''),
+RECURSIVE_MARK
+canon AS (SELECT id, target FROM chain c WHERE NOT EXISTS (SELECT 1 FROM alias a WHERE a.id = c.target)),
+plays AS (SELECT o_custkey AS u, coalesce(target, l_partkey) AS item, CAST(sum(l_quantity) AS BIGINT) AS plays
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN canon ON canon.id = l_partkey GROUP BY 1, 2)
+""".replace("WITH lines", "WITH RECURSIVE lines").replace("RECURSIVE_MARK", """
+alias AS (SELECT p_partkey AS id, p_partkey // 3 AS target FROM part WHERE p_partkey % 5 = 0 AND p_partkey // 3 > 0),
+chain AS (SELECT id, target FROM alias UNION SELECT c.id, a.target FROM chain c JOIN alias a ON a.id = c.target),""")
+
+
+def name_lines(spark, sf):
+    """Stand-in for the list of names, with lines that lack an id or a name."""
+    key = F.col("p_partkey")
+    tab = F.lit("\t")
+    return Tables(spark, sf).part.select(F.when(key % 11 == 0, F.col("p_name"))
+                                         .when(key % 13 == 0, F.concat(key.cast("string"), tab, F.lit("  ")))
+                                         .otherwise(F.concat(key.cast("string"), tab, F.col("p_name"))).alias("value"))
+
+
+def alias_lines(spark, sf):
+    """Stand-in for the list of aliases: chains of several steps."""
+    key = F.col("p_partkey")
+    return Tables(spark, sf).part.where((key % 5 == 0) & (F.expr("p_partkey div 3") > 0)).select(
+        F.concat(key.cast("string"), F.lit("\t"), F.expr("p_partkey div 3").cast("string")).alias("value"))
+
+
+def plays(spark, sf):
+    """(user, item, plays) with aliases resolved."""
+    t = Tables(spark, sf)
+    li, o = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity"), t.orders.select("o_orderkey", "o_custkey")
+    raw = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item"), "l_quantity")
+    canon = REC.resolve_aliases(REC.clean_aliases(alias_lines(spark, sf)))
+    return REC.with_canonical(raw, "item", canon).groupBy("user", "item").agg(
+        F.sum("l_quantity").cast("bigint").alias("plays"))
+
+
+@query("recommender_names_and_aliases", "L39,C14,B29", _PLAYS_SQL + """
+SELECT item, name, count(*) AS users, CAST(sum(plays) AS BIGINT) AS plays
+FROM plays LEFT JOIN names ON names.id = plays.item GROUP BY 1, 2
+""")
+def _(spark, sf):
+    names = REC.clean_names(name_lines(spark, sf)).withColumnRenamed("id", "item")
+    return plays(spark, sf).join(names, "item", "left").groupBy("item", "name").agg(
+        F.count(F.lit(1)).alias("users"), F.sum("plays").alias("plays"))
+
+
+@query("recommender_negative_draws", "F11", _PLAYS_SQL + """,
+idx AS (SELECT item, row_number() OVER (ORDER BY item) - 1 AS i FROM (SELECT DISTINCT item FROM plays)),
+have AS (SELECT u, i, row_number() OVER (PARTITION BY u ORDER BY i) - 1 AS draw, count(*) OVER (PARTITION BY u) AS n
+         FROM plays JOIN idx USING (item)),
+r AS (SELECT u, draw, ('0x' || substr(md5(u || ':' || draw || ':5'), 1, 8))::BIGINT % ((SELECT count(*) FROM idx) - n) AS r
+      FROM have WHERE (SELECT count(*) FROM idx) > n),
+k AS (SELECT r.u, r.draw, r.r, count(h.i) AS skip FROM r LEFT JOIN have h ON h.u = r.u AND h.i - h.draw <= r.r GROUP BY 1, 2, 3)
+SELECT k.u AS user, k.draw, idx.item FROM k JOIN idx ON idx.i = k.r + k.skip
+""")
+def _(spark, sf):
+    p = plays(spark, sf)
+    return REC.negative_draws(p, p, "user", "item")
+
+
+@query("auc_of_stored_scores", "L40", """
+WITH s AS (SELECT o_custkey AS u, l_discount AS score, l_returnflag = 'R' AS pos
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+a AS (SELECT p.u, count(*) FILTER (WHERE p.score > q.score) AS correct, count(*) AS pairs
+      FROM s p JOIN s q ON p.u = q.u AND p.pos AND NOT q.pos GROUP BY 1)
+SELECT u AS user, correct, floor(correct / pairs * 1e9 + 0.5) / 1e9 AS auc FROM a
+""")
 def _(spark, sf):
     t = Tables(spark, sf)
-    o, li = t.orders, t.lineitem
-    ratings = (li.join(o, li.l_orderkey == o.o_orderkey)
-                 .groupBy(F.col("o_custkey").cast("int").alias("user"), F.col("l_partkey").cast("int").alias("item"))
-                 .agg(F.sum("l_quantity").alias("rating")))
-    train, test = ratings.randomSplit([0.9, 0.1], 7)
-    model = ML.als_implicit(train, "user", "item", "rating", rank=8, max_iter=5)
-    neg = ML.negative_samples(test, ratings.select("item"), "user", "item", per_user=5)
-    auc = ML.mean_auc(model, test, neg, "user", "item")
-    top = model.recommendForAllUsers(5).select("user", F.size("recommendations").alias("n_recs"))
-    return top.crossJoin(auc)
+    s = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_custkey").alias("user"), F.col("l_discount").alias("score"), (F.col("l_returnflag") == "R").alias("pos"))
+    return REC.auc_by_group(s, ["user"], "score", "pos").select(
+        "user", F.col("correct").cast("bigint").alias("correct"), fixed("auc", 9).alias("auc"))
+
+
+@query("als_recommend_and_auc", "L39,M11,F6", note="rows-only: ALS factors are solver-dependent")
+def _(spark, sf):
+    """Top five of the users whose id 20 divides, with names, and the users who suit
+    the items whose id 20 divides, each with its score."""
+    names = REC.clean_names(name_lines(spark, sf))
+    ratings = written(plays(spark, sf).select(F.col("user").cast("int").alias("user"), F.col("item").cast("int").alias("item"), "plays"),
+                      "plays")
+    model = ML.als_implicit(ratings, "user", "item", "plays", rank=8, reg=0.01, max_iter=5)
+    some = REC.top_items(model, ratings.select("user").distinct().where("user % 20 = 0"), 5, names)
+    back = REC.top_users(model, ratings.select("item").distinct().where("item % 20 = 0"), 5)
+    return some.select(F.lit("item for user").alias("kind"), "user", "item", "rank", "score", "name").unionByName(
+        back.select(F.lit("user for item").alias("kind"), "user", "item", "rank", "score", F.lit(None).cast("string").alias("name")))
+
+
+@query("als_sweep_by_auc", "L40,F11,M11", note="rows-only: ALS factors are solver-dependent")
+def _(spark, sf):
+    """Mean AUC on held-out positives over a grid, one negative per positive."""
+    ratings = written(plays(spark, sf).select(F.col("user").cast("int").alias("user"), F.col("item").cast("int").alias("item"), "plays"),
+                      "plays")
+    train, test = ML.hashed_split(ratings, ["user", "item"], 10)
+    negatives = REC.negative_draws(ratings, ratings, "user", "item").select("user", "item")
+    grid = [{"rank": r, "reg": g, "alpha": a} for r, g, a in ((4, 0.01, 1.0), (8, 0.01, 1.0), (4, 1.0, 40.0), (8, 1.0, 40.0))]
+    return REC.auc_sweep(train, test, negatives, "user", "item", "plays", grid)
 
 
 @query("forest_held_out_report", "M4,M14,M16,M17,M18,M19,M20", note="rows-only: MLlib models")

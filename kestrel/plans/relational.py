@@ -8,6 +8,7 @@ from pyspark.sql import Window
 
 from ..operators import joins as J
 from ..operators import relational as R
+from ..session import written
 from ..sources.tables import Tables
 from .registry import query
 
@@ -502,16 +503,31 @@ def _(spark, sf):
     return out.withColumn("names", F.to_json("names")).select("key", "name", "names", "one")
 
 
-@query("plan_pushdown_and_cache", "F18,F20", """
-SELECT true AS pushed_filters, true AS pruned_schema, count(*) AS rows FROM lineitem WHERE l_quantity > 49
+@query("plan_pushdown_and_cache", "F18", """
+SELECT count(*) AS rows FROM lineitem WHERE l_quantity > 49
 """)
 def _(spark, sf):
-    li = T(spark, sf).lineitem
-    q = li.where(F.col("l_quantity") > 49).select("l_orderkey", "l_quantity")
-    plan = q._jdf.queryExecution().executedPlan().toString()
-    pushed = "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,49" in plan
-    pruned = "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in plan
-    cached = q.cache()
-    n = cached.count()
+    """A filtered, pruned scan, cached and counted (the tests look at its plan)."""
+    cached = T(spark, sf).lineitem.where(F.col("l_quantity") > 49).select("l_orderkey", "l_quantity").cache()
+    out = written(cached.agg(F.count("l_quantity").alias("rows")), "cached-count")
     cached.unpersist()
-    return spark.createDataFrame([(pushed, pruned, n)], "pushed_filters boolean, pruned_schema boolean, rows long")
+    return out
+
+
+@query("foreach_side_effects", "F17,D41", """
+SELECT count(*) AS rows_seen, count(*) FILTER (WHERE event_type = 'error') AS errors FROM events
+""")
+def _(spark, sf):
+    """Rows visited for their side effect alone: counters that every partition adds to."""
+    rows, errors = R.foreach_counted(T(spark, sf).events.select("event_type"), lambda r: r.event_type == "error")
+    return spark.range(1).select(F.lit(rows).alias("rows_seen"), F.lit(errors).alias("errors"))
+
+
+@query("shuffle_width_setting", "F19,F13", """
+SELECT 7 AS width, least(7, count(DISTINCT o_orderkey)) AS partitions, count(*) AS rows FROM orders
+""")
+def _(spark, sf):
+    """The width set for one session, and the partitions that a shuffle then really has."""
+    narrow = R.session_with_width(spark, 7)
+    per = R.partition_sizes(T(narrow, sf).orders.groupBy("o_orderkey").count())
+    return per.agg(F.lit(7).alias("width"), F.count(F.lit(1)).alias("partitions"), F.sum("rows").alias("rows"))

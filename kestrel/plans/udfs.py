@@ -52,6 +52,24 @@ def _(spark, sf):
     return c.select("o_orderkey", "o_orderstatus", fixed("o_totalprice", 4).alias("centred"))
 
 
+@query("grouped_map_centred_per_customer", "K8", """
+SELECT o_orderkey, o_custkey, floor((o_totalprice - avg(o_totalprice) OVER (PARTITION BY o_custkey)) * 1e4 + 0.3) / 1e4 AS centred
+FROM orders
+""", note="a customer's orders are a bounded group; halves don't fall on the border of 0.3")
+def _(spark, sf):
+    o = Tables(spark, sf).orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    return U.subtract_mean_grouped(o, "o_custkey", "o_totalprice").select(
+        "o_orderkey", "o_custkey", (F.floor(F.col("o_totalprice") * 1e4 + 0.3) / 1e4).alias("centred"))
+
+
+@query("shipped_helper_module", "K11,K3", """
+SELECT c_custkey, CAST(coalesce(list_sum(list_transform(regexp_extract_all(c_name, '[0-9]'), lambda d: CAST(d AS INTEGER))), 0) AS BIGINT) AS digits
+FROM customer
+""")
+def _(spark, sf):
+    return U.with_shipped_digit_sum(Tables(spark, sf).customer, "c_name", "digits").select("c_custkey", "digits")
+
+
 @query("python_table_function_split", "K12,B2", """
 SELECT item_id, count(*) AS n_words FROM (SELECT item_id, unnest(regexp_split_to_array(trim(text), '\\s+')) AS w FROM benchmark)
 GROUP BY item_id

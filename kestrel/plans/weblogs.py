@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import udfs as U
 from ..jobs import weblogs as L
+from ..session import scratch_path
 from ..sources.tables import Tables
 from .registry import query
 
@@ -174,3 +175,19 @@ def _(spark, sf):
     r = L.avg_size_per_host_per_day(logs(spark, sf))
     return r.select(F.date_format("day", "yyyy-MM-dd").alias("day"),
                     F.round("avg_size_per_host", 6).alias("avg_size_per_host"))
+
+
+@query("log_first_lines_saved", "L20,A12,F4", _LOGS + """,
+f AS (SELECT * FROM logs ORDER BY date_time, host, endpoint, content_size LIMIT 100)
+SELECT count(*) AS lines, CAST(sum(content_size) AS BIGINT) AS total_size, count(DISTINCT host) AS hosts FROM f
+""")
+def _(spark, sf):
+    """The first hundred lines by time saved as text, read back and parsed."""
+    path = scratch_path(spark, "first-lines")
+    lines = L.events_as_log_lines(Tables(spark, sf).events)
+    parsed = L.parse_logs(lines)
+    ordered = parsed.select(F.col("value"), F.struct("date_time", "host", "endpoint", "content_size").alias("o"))
+    L.save_first_lines(ordered.orderBy("o").limit(100).select("value"), 100, path)
+    back = L.parse_logs(spark.read.text(path))
+    return back.agg(F.count(F.lit(1)).alias("lines"), F.sum("content_size").cast("bigint").alias("total_size"),
+                    F.count_distinct("host").alias("hosts"))

@@ -127,7 +127,7 @@ def dynamic_overwrite(df: DataFrame, table: str) -> None:
     position, partition columns last)."""
     spark = df.sparkSession
     old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")     # insertInto takes no option for it
     try:
         df.write.insertInto(table, overwrite=True)
     finally:
@@ -146,29 +146,3 @@ def partition_count(spark: SparkSession, table: str, spec: dict) -> int:
     for k, v in spec.items():
         t = t.where(F.col(k) == F.lit(v))
     return t.count()
-
-
-def load_day(spark: SparkSession, src_root: str, table: str, y: int, m: int, d: int, transform=None,
-             fmt: str = "csv", options: dict | None = None) -> int:
-    """Incremental load of one day folder ``year=/month=/day=`` into a
-    partitioned table with dynamic overwrite; returns the rows loaded."""
-    r = spark.read.format(fmt).options(**(options or {"header": "true"}))
-    df = r.load(f"{src_root}/year={y}/month={m}/day={d}")
-    if transform:
-        df = transform(df)
-    df = df.withColumn("year", F.lit(y)).withColumn("month", F.lit(m)).withColumn("day", F.lit(d))
-    dynamic_overwrite(df.select(*spark.table(table).columns), table)
-    return partition_count(spark, table, {"year": y, "month": m, "day": d})
-
-
-def backfill(spark: SparkSession, days: list[tuple[int, int, int]], loader) -> DataFrame:
-    """Load each day in numeric order, record success / failure per
-    day and continue past failures; returns a status table."""
-    status = []
-    for y, m, d in sorted(days):
-        try:
-            rows = loader(y, m, d)
-            status.append((y, m, d, "ok", int(rows), None))
-        except Exception as e:  # noqa: BLE001 - recorded, loop continues
-            status.append((y, m, d, "failed", 0, str(e)[:500]))
-    return spark.createDataFrame(status, "year int, month int, day int, status string, rows long, error string")
