@@ -4,7 +4,8 @@ Every position of a sequence has one value of each feature; a feature value has
 a weight per tag, and a pair of neighbouring tags has a weight.  Training is
 full-batch gradient ascent on the penalised log-likelihood (forward-backward in
 log space) over a small labelled table.  Decoding is Viterbi over many sequences
-at once, one position at a time, longest sequences first.
+at once, one position at a time, longest sequences first; a very long sequence
+by blocks, with the same best path.
 """
 
 from __future__ import annotations
@@ -35,7 +36,62 @@ class Chain:
         return viterbi(self.scores(features), self.step, self.start, bound)
 
 
+LONG = 512               # positions; longer sequences are decoded by themselves, in blocks
+
+
 def viterbi(score: np.ndarray, step: np.ndarray, start: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """The best tags of every sequence, whole, whatever its length."""
+    length = np.diff(bound)
+    far = np.flatnonzero(length > LONG)
+    if len(far):
+        tag = np.zeros(len(score), np.uint8)
+        for i in far.tolist():
+            tag[bound[i]:bound[i + 1]] = _long_path(score[bound[i]:bound[i + 1]], step, start)
+        near = np.repeat(length <= LONG, length)
+        tag[near] = _together(score[near], step, start, np.append(0, np.cumsum(length[length <= LONG])))
+        return tag
+    return _together(score, step, start, bound)
+
+
+def _long_path(score: np.ndarray, step: np.ndarray, start: np.ndarray, block: int = 128) -> np.ndarray:
+    """Viterbi over one long sequence: for every block the best paths from each tag
+    before it to each tag at its end, all blocks at once; then the best tags at the
+    borders, block by block; then the paths between them, all at once.  A byte a
+    position and pair of tags."""
+    n, k = score.shape
+    blocks = -(-(n - 1) // block)
+    held = np.zeros((blocks * block, k), score.dtype)
+    held[:n - 1] = score[1:]
+    held = held.reshape(blocks, block, k)
+    size = np.full(blocks, block)
+    size[-1] = n - 1 - (blocks - 1) * block
+    best = np.full((blocks, k, k), -np.inf, score.dtype)
+    best[:, np.arange(k), np.arange(k)] = 0
+    back = np.zeros((block, blocks, k, k), np.uint8)
+    for t in range(block):
+        m = blocks if t < size[-1] else blocks - 1            # the last block may be shorter
+        path = best[:m, :, :, None] + step                    # (block, from, last tag, next tag)
+        back[t, :m] = path.argmax(2)
+        best[:m] = path.max(2) + held[:m, t, None, :]
+    reach = score[0] + start
+    came = np.zeros((blocks, k), np.int64)
+    for b in range(blocks):
+        path = reach[:, None] + best[b]
+        came[b], reach = path.argmax(0), path.max(0)
+    border = np.zeros(blocks + 1, np.int64)
+    border[-1] = reach.argmax()
+    for b in range(blocks - 1, -1, -1):
+        border[b] = came[b, border[b + 1]]
+    tag = np.zeros((blocks, block), np.uint8)
+    now = border[1:].copy()
+    for t in range(block - 1, -1, -1):
+        m = blocks if t < size[-1] else blocks - 1
+        tag[:m, t] = now[:m]
+        now[:m] = back[t, np.arange(m), border[:m], now[:m]]
+    return np.concatenate((border[:1].astype(np.uint8), tag.ravel()[:n - 1]))
+
+
+def _together(score: np.ndarray, step: np.ndarray, start: np.ndarray, bound: np.ndarray) -> np.ndarray:
     length = np.diff(bound)
     order = np.argsort(-length, kind="stable")
     order = order[length[order] > 0]

@@ -3,8 +3,8 @@ indicators scaled by naive Bayes log-count ratios.
 
 Features of a text are the hashed distinct byte trigrams, words, word pairs and
 runs of one repeated word.  The ratios and the machine are fitted on a bounded
-sample of the labelled rows (``sample`` rows of least hash of the id, a
-documented parameter); the hinge loss is minimised by dual coordinate descent.
+sample of the labelled rows (those of least hash of the id, bounded in rows and
+in bytes by documented parameters); the hinge loss is minimised by dual coordinate descent.
 Scores are margins through a logistic curve that is fitted to margins of rows
 the machine has not seen.  All documents are scored in one pass.
 """
@@ -19,11 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import crc32_mod, emit, source
+from .tables import crc32_mod, emit, source, stored
 from .words import chunks, mix, split_words
 
 BITS = 18
-SAMPLE = 6000
+SAMPLE = 6000            # labels
+SAMPLE_BYTES = 64 << 20  # of their features
 FOLDS = 5
 THRESHOLD = 0.3
 _RUNS = (2, 3, 5, 8)
@@ -171,26 +172,41 @@ def fit(docs: list[np.ndarray], y: np.ndarray, bits: int = BITS) -> Model:
 def _features(bits: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo, hi, buf, offset in chunks(b.column(1)):
+            for lo, hi, buf, offset in chunks(b.column(2)):
                 row, feature = row_features(buf, offset, bits)
                 cut = np.searchsorted(row, np.arange(hi - lo + 1))
                 feature = feature.astype(np.uint32)
-                yield from emit(["y", "x"], [b.column(0).slice(lo, hi - lo),
-                                             pa.array([feature[cut[i]:cut[i + 1]].tobytes() for i in range(hi - lo)],
-                                                      pa.binary())], rows=1024)
+                yield from emit(["id", "y", "x"], [b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo),
+                                                   pa.array([feature[cut[i]:cut[i + 1]].tobytes() for i in range(hi - lo)],
+                                                            pa.binary())], rows=1024)
     return run
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "quality", sample: int = SAMPLE, bits: int = BITS) -> Model:
-    """Fit on at most ``sample`` labelled rows outside the held-out fold."""
+          label_col: str = "quality", sample: int = SAMPLE, bits: int = BITS,
+          sample_bytes: int = SAMPLE_BYTES) -> Model:
+    """Fit on labelled rows outside the held-out fold: in the order of a hash of the
+    id, at most ``sample`` labels, and of those as many whole rows as have features
+    of ``sample_bytes`` bytes together (four a feature), so that what the driver
+    fits is bounded however long texts are.  Of several rows of one id the least
+    text counts."""
     some = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
             .select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y"))
             .where(crc32_mod(F.col("id"), FOLDS) != 0)
             .orderBy(F.xxhash64("id"), "id", "y").limit(sample))
-    rows = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-            .join(F.broadcast(some), "id")                      # at most ``sample`` rows of two numbers
-            .select("y", "text").mapInArrow(_features(bits), "y int, x binary").limit(4 * sample).collect())
+    rows = stored(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+                  .join(F.broadcast(some), "id")                # at most ``sample`` rows of two numbers
+                  .groupBy("id", "y").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+                  .select("id", "y", "text").mapInArrow(_features(bits), "id long, y int, x binary"), "svm-sample")
+    rows = rows.withColumn("at", F.xxhash64("id"))
+    sizes = rows.select("at", "id", "y", F.length("x").alias("size")).collect()         # at most ``sample`` rows
+    held, last = 0, None
+    for r in sorted(sizes, key=lambda r: (r["at"], r.id, r.y)):
+        held += r.size
+        if held > sample_bytes:
+            break
+        last = r["at"]
+    rows = rows.where(F.col("at") <= F.lit(last)).collect() if last is not None else []
     order = sorted(range(len(rows)), key=lambda i: (bytes(rows[i].x), rows[i].y))
     x = [np.frombuffer(rows[i].x, np.uint32).astype(np.int64) for i in order]
     return fit(x, np.array([rows[i].y for i in order], np.int64), bits)

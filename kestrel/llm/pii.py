@@ -3,8 +3,7 @@
 Base spans come from four patterns with checks.  A linear-chain conditional
 random field over the shapes of words, trained from a small labelled table,
 adds spans: access keys and tokens, and base kinds that no pattern caught.  It
-reads sequences of words (a line or sentence, at most ``MAX_SEQUENCE`` words)
-and is decoded by Viterbi over all sequences of a batch at once.
+reads sequences of words (a line or sentence, whole) and is decoded by Viterbi over all sequences of a batch at once.
 """
 
 from __future__ import annotations
@@ -24,7 +23,6 @@ from .words import Words, chunks, hash_spans, split_words, text_bytes
 
 KINDS = ["email", "ip", "card", "phone", "key"]
 TAGS = ["other", *KINDS]
-MAX_SEQUENCE = 256
 # fixed values: the patterns of the base kinds
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -108,8 +106,6 @@ class Shapes:
             newline = np.concatenate(([0], np.cumsum(buf == 10)))
             new[1:] = (w.row[1:] != w.row[:-1]) | (newline[s[1:]] != newline[e[:-1]]) | _END[buf[e[:-1] - 1]]
         start = np.flatnonzero(new)
-        inside = np.arange(n) - np.repeat(start, np.diff(np.append(start, n)))
-        start = np.flatnonzero(inside % MAX_SEQUENCE == 0)
         self.bound = np.append(start, n)
         before, after = np.full(n, 256), np.full(n, 256)
         before[1:], after[:-1] = mask[:-1], mask[1:]
@@ -149,6 +145,7 @@ def shape_model() -> Chain:
 # what a decoded run of words must be to count: digits, length, and shape bits that it needs
 _NEED = {"email": (0, 6, 1 << 3), "ip": (4, 7, 1 << 4), "card": (13, 13, 1 << 2), "phone": (9, 10, 1 << 2),
          "key": (1, 16, 1 << 2)}
+_ONE_WORD = ("email", "ip", "key")          # neighbours of these kinds are words of their own
 _TRIM = b"\"'`.,;:!?()[]{}<>*#&%$|"
 
 
@@ -166,10 +163,12 @@ def model_spans(w: Words, shapes: Shapes, tag: np.ndarray) -> Iterator[tuple[int
     cut = np.flatnonzero((np.diff(hit) > 1) | (np.diff(seq) > 0) | (tag[hit[1:]] != tag[hit[:-1]])) + 1
     runs = []
     for a, z in zip(hit[np.append(0, cut)], hit[np.append(cut, len(hit)) - 1]):
-        if not card[a] or whole(a, z):
-            runs.append((a, z))
-        else:                               # a row of numbers: those that are cards by themselves
+        if card[a] and not whole(a, z):     # a row of numbers: those that are cards by themselves
             runs += [(i, i) for i in range(a, z + 1) if whole(i, i)]
+        elif TAGS[tag[a]] in _ONE_WORD:
+            runs += [(i, i) for i in range(a, z + 1)]
+        else:
+            runs.append((a, z))
     for a, z in runs:
         kind = TAGS[tag[a]]
         digits, length, bits = _NEED[kind]
@@ -177,8 +176,6 @@ def model_spans(w: Words, shapes: Shapes, tag: np.ndarray) -> Iterator[tuple[int
         raw = w.buf[lo:hi].tobytes()
         lo += len(raw) - len(raw.lstrip(_TRIM))
         raw = raw.strip(_TRIM)
-        if kind in ("key", "email", "ip") and a != z:
-            continue
         if (shapes.digits[a:z + 1].sum() >= digits and len(raw) >= length
                 and np.bitwise_or.reduce(shapes.features[0][a:z + 1]) & bits):
             yield int(w.row[a]), KINDS.index(kind), lo, lo + len(raw)

@@ -6,7 +6,9 @@ broadcast to one pass over all documents.  A document joins an item where they
 share a seed, a run of ``k`` words with equal running (Karp-Rabin) hashes.  For
 each such pair the longest common run of unmarked words is marked in both, again
 and again, until none of ``k`` words is left.  The marked share of the item's
-words is its coverage; order doesn't matter, so reordered passages count.
+words is its coverage; order doesn't matter, so reordered passages count.  The
+runs come from the hits of seeds or, where words repeat so that a pair has very
+many, from running hashes of halved lengths; the tiles are the same.
 """
 
 from __future__ import annotations
@@ -22,11 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import bounded_batches, source, tidy
-from .words import SEPARATOR, Words, chunks, shingle_hashes, split_words
+from .words import SEPARATOR, Words, chunks, powers, shingle_hashes, split_words
 
 SEED = 5
 COVERAGE = 0.5
 BLOCK_BYTES = 8 << 20
+_HITS = 1 << 14          # pairs of equal seeds that a document and an item may list
 
 _BREAK = SEPARATOR.copy()
 for _c in range(128):
@@ -51,6 +54,7 @@ class Block:
     seed: np.ndarray      # sorted hashes
     item: np.ndarray
     place: np.ndarray
+    group: np.ndarray     # where the entries of each (seed, item) begin
     sieve: np.ndarray     # which low bits any seed has
 
     @classmethod
@@ -67,12 +71,15 @@ class Block:
             item.append(w.row[at] + lo)
             place.append(at - w.first[w.row[at]])
         s = np.concatenate(seed) if seed else np.zeros(0, np.uint64)
-        order = np.argsort(s, kind="stable")
         sieve = np.zeros(1 << 20, bool)
         sieve[(s & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
         i = np.concatenate(item) if item else np.zeros(0, np.int64)
         p = np.concatenate(place) if place else np.zeros(0, np.int64)
-        return cls(list(ids), hashes, s[order], i[order], p[order], sieve)
+        order = np.lexsort((p, i, s))
+        s, i, p = s[order], i[order], p[order]
+        new = np.ones(len(s), bool)
+        new[1:] = (s[1:] != s[:-1]) | (i[1:] != i[:-1])
+        return cls(list(ids), hashes, s, i, p, np.flatnonzero(new), sieve)
 
 
 def tiles(a: np.ndarray, b: np.ndarray, k: int) -> list[tuple[int, int, int]]:
@@ -95,30 +102,81 @@ def tiles(a: np.ndarray, b: np.ndarray, k: int) -> list[tuple[int, int, int]]:
     return found
 
 
+def tiles_by_length(a: np.ndarray, b: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    """The same tiling from the word hashes of the two texts, without listing hits:
+    the longest common run of unmarked words is found by halving its length, where
+    running hashes tell whether a run of that length is common.  Memory is that of
+    the texts, also where words repeat."""
+    sides = []
+    for x in (a, b):
+        up, down = powers(len(x) + 1)
+        sides.append((np.concatenate((np.zeros(1, np.uint64), np.cumsum(x * up[:-1]))), down))
+    gone = [np.zeros(len(a) + 1, np.int64), np.zeros(len(b) + 1, np.int64)]      # marked words before each place
+
+    def runs(side: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+        total, down = sides[side]
+        m = len(total) - n
+        if m <= 0:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        at = np.flatnonzero(gone[side][n:] == gone[side][:m])
+        return at, (total[at + n] - total[at]) * down[at]
+
+    def common(n: int) -> tuple[int, int] | None:
+        (i, p), (j, q) = runs(0, n), runs(1, n)
+        hit = np.flatnonzero(np.isin(p, q))
+        return (int(i[hit[0]]), int(j[np.argmax(q == p[hit[0]])])) if len(hit) else None
+
+    found = []
+    top = min(len(a), len(b))
+    while top >= k and common(k):
+        low, high = k, top
+        while low < high:
+            n = (low + high + 1) // 2
+            low, high = (n, high) if common(n) else (low, n - 1)
+        x, y = common(low)
+        found.append((x, y, low))
+        for side, at in ((0, x), (1, y)):
+            step = np.zeros(len(gone[side]), np.int64)
+            step[at + 1:at + low + 1] = 1
+            gone[side] += np.cumsum(step)
+        top = low
+    return found
+
+
 def _matches(block: Block, column: pa.Array, k: int, least: float) -> Iterator[tuple]:
     """(row, item, covered, tiles) of every pair that reaches ``least``."""
     for lo, hi, buf, offset in chunks(_lower(column)):
         w = _words(buf, offset)
-        value, at = shingle_hashes(w, w.hashes(), k)
+        h = w.hashes()
+        value, at = shingle_hashes(w, h, k)
         maybe = np.flatnonzero(block.sieve[(value & np.uint64((1 << 20) - 1)).astype(np.int64)])
+        # a seed's entries lie together, those of one item as one group: a row per place and item, not per hit
         left = np.searchsorted(block.seed, value[maybe], "left")
-        count = np.searchsorted(block.seed, value[maybe], "right") - left
-        maybe, left, count = maybe[count > 0], left[count > 0], count[count > 0]
+        right = np.searchsorted(block.seed, value[maybe], "right")
+        maybe, left, right = maybe[right > left], left[right > left], right[right > left]
         if not len(maybe):
             continue
-        hit = np.repeat(left - np.cumsum(count) + count, count) + np.arange(count.sum())
+        left, right = np.searchsorted(block.group, left), np.searchsorted(block.group, right)
+        count = right - left
+        group = np.repeat(left - np.cumsum(count) + count, count) + np.arange(count.sum())
         place = np.repeat(at[maybe], count)
-        row, item = w.row[place], block.item[hit]
+        row, item = w.row[place], block.item[block.group[group]]
         order = np.lexsort((item, row))
-        row, item, place, hit = row[order], item[order], place[order], hit[order]
+        row, item, place, group = row[order], item[order], place[order], group[order]
         cut = np.flatnonzero((row[1:] != row[:-1]) | (item[1:] != item[:-1])) + 1
+        size = np.diff(np.append(block.group, len(block.seed)))
         for s, e in zip(np.append(0, cut), np.append(cut, len(row))):
             r, i = int(row[s]), int(item[s])
             n = len(block.words[i])
             # the seeds alone bound what the tiles can cover
-            if len(np.unique(block.place[hit[s:e]])) * k < least * n:
+            if int(size[np.unique(group[s:e])].sum()) * k < least * n:
                 continue
-            got = tiles(block.place[hit[s:e]], place[s:e] - w.first[r], k)
+            each = size[group[s:e]]
+            if each.sum() <= _HITS + 4 * (e - s):
+                hit = np.repeat(block.group[group[s:e]] - np.cumsum(each) + each, each) + np.arange(each.sum())
+                got = tiles(block.place[hit], np.repeat(place[s:e], each) - w.first[r], k)
+            else:
+                got = tiles_by_length(block.words[i], h[w.first[r]:w.first[r + 1]], k)
             covered = sum(t[2] for t in got)
             if covered >= least * n:
                 yield lo + r, i, covered, n, got
