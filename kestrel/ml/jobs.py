@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import squared_distance
 from ..operators.aggregate import weighted_entropy
+from ..operators.joins import zip_with_index
+from ..session import written
 
 
 def kmeans_pipeline(features: str, k: int, seed: int = 1, max_iter: int = 20, scale: bool = True):
@@ -46,11 +48,13 @@ def anomalies(df: DataFrame, features: str, k: int = 8, top: int = 20, seed: int
     model = pipe.fit(df)
     scored = model.transform(df)
     centres = model.stages[-1].clusterCenters()
-    d = distance_to_centre(scored, centres, col)
+    d = written(distance_to_centre(scored, centres, col), "distances")
     thr = d.select("distance").orderBy(F.desc("distance")).limit(top).agg(F.min("distance").alias("__t"))
-    flagged = d.crossJoin(thr).where(F.col("distance") >= F.col("__t")).drop("__t")
-    return flagged.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("distance"), *[
-        c for c in df.columns if c != features])))
+    flagged = d.crossJoin(F.broadcast(thr)).where(F.col("distance") >= F.col("__t")).drop("__t")
+    names = [c for c in df.columns if c != features]
+    # the rank in one total order by ranges: ties at the threshold may be many
+    return zip_with_index(flagged.withColumn("__far", -F.col("distance")), ["__far", *names], "rank").withColumn(
+        "rank", (F.col("rank") + 1).cast("int")).drop("__far")
 
 
 def entropy_sweep(df: DataFrame, features: str, label: str, ks: list[int], seed: int = 1, max_iter: int = 10):
@@ -182,18 +186,31 @@ def hashed_split(df: DataFrame, keys: list[str], test_percent: int = 20) -> tupl
     return df.where(bucket >= test_percent), df.where(bucket < test_percent)
 
 
+def filled(df: DataFrame, numeric: list[str]) -> tuple[DataFrame, list]:
+    """``df`` with the numeric columns as doubles, and the stage that fills their
+    nulls with the median of the rows it is fitted on, so no row is skipped.  A
+    column of nulls only is 0."""
+    from pyspark.ml.feature import Imputer
+    empty = df.agg(*[F.count(c).alias(c) for c in numeric]).first()
+    df = df.withColumns({c: (F.lit(0.0) if not empty[c] else F.col(c).cast("double")) for c in numeric})
+    return df, [Imputer(inputCols=numeric, outputCols=[f"__full_{c}" for c in numeric], strategy="median")]
+
+
 def forest_report(df: DataFrame, numeric: list[str], label: str, keys: list[str], max_categories: int = 8,
                   seed: int = 7) -> DataFrame:
     """A forest tuned by train/validation split and a single
     tree, both scored on held-out rows.  Rows (part, name, value): chosen
-    parameters, importances, nodes of the tree, accuracy, F1, confusion cells."""
+    parameters, importances, nodes of the tree, accuracy, F1, confusion cells.
+    Nulls in numeric columns are filled by the training rows' median, a null label
+    is a class of its own."""
     from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
     from pyspark.ml.feature import StringIndexer, VectorIndexer
     from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
+    df, fill = filled(df, numeric)
     train, test = hashed_split(df, keys)
     prepare = Pipeline(stages=[
-        StringIndexer(inputCol=label, outputCol="__label", handleInvalid="keep"),
-        VectorAssembler(inputCols=numeric, outputCol="__raw", handleInvalid="skip"),
+        StringIndexer(inputCol=label, outputCol="__label", handleInvalid="keep"), *fill,
+        VectorAssembler(inputCols=[f"__full_{c}" for c in numeric], outputCol="__raw"),
         VectorIndexer(inputCol="__raw", outputCol="__features", maxCategories=max_categories,
                       handleInvalid="keep")]).fit(train)
     train, test = (prepare.transform(x).select("__label", "__features") for x in (train, test))
@@ -222,15 +239,18 @@ def forest_report(df: DataFrame, numeric: list[str], label: str, keys: list[str]
 def cross_validated_regression(df: DataFrame, numeric: list[str], label: str, keys: list[str],
                                folds: int = 3) -> DataFrame:
     """Elastic-net regression chosen by cross-validation over
-    hashed folds, then scored on held-out rows.  Rows (part, name, value)."""
+    hashed folds, then scored on held-out rows.  Rows (part, name, value).  Nulls in
+    numeric columns are filled by the training rows' median; rows without a label
+    cannot be scored and are left out."""
     from pyspark.ml.regression import LinearRegression
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    df, fill = filled(df.where(F.col(label).isNotNull()), numeric)
     train, test = hashed_split(df, keys)
     train = train.withColumn("__fold", F.pmod(F.xxhash64(*keys, F.lit("fold")), F.lit(folds)).cast("int"))
     line = LinearRegression(featuresCol="__features", labelCol=label, maxIter=20)
     grid = ParamGridBuilder().addGrid(line.regParam, [0.01, 1.0]).addGrid(line.elasticNetParam, [0.0, 0.5]).build()
     rmse = RegressionEvaluator(labelCol=label, metricName="rmse")
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=numeric, outputCol="__features", handleInvalid="skip"), line])
+    pipe = Pipeline(stages=[*fill, VectorAssembler(inputCols=[f"__full_{c}" for c in numeric], outputCol="__features"), line])
     chosen = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=rmse, numFolds=folds,
                             foldCol="__fold").fit(train)
     best, scored = chosen.bestModel.stages[-1], chosen.transform(test)

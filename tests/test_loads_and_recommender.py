@@ -122,3 +122,57 @@ def test_log_lines_with_the_separator_and_tails(spark):
     by = {r.value: r for r in rows}
     assert [by[x].ok for x in (line, *odd)] == [True, True, True, False, False, False]
     assert by[odd[0]].host == "h\x01" and by[odd[1]].content_size == 5 and by["a\x01b"].host == "" and by[line].endpoint == "/x"
+
+
+def test_models_keep_rows_with_null_features(spark):
+    from kestrel.ml import jobs as ML
+    rand = random.Random(4)
+    rows = [(i, None if i % 7 == 0 else float(rand.randrange(100)), None, rand.random()) for i in range(600)]
+    df = spark.createDataFrame([(*r, "hi" if (r[1] or 50) > 50 else "lo", 2.0 * (r[1] or 50) + 1) for r in rows],
+                               "id long, a double, b double, c double, label string, y double")
+    out = ML.forest_report(df, ["a", "b", "c"], "label", ["id"]).collect()
+    cells = sum(r.value for r in out if r.part == "confusion")
+    assert cells == ML.hashed_split(df, ["id"])[1].count()
+    accuracy = {r.name: r.value for r in out if r.part == "accuracy"}
+    assert all(0.8 < v <= 1 for v in accuracy.values())
+    weights = [sum(r.value for r in out if r.part == "importance" and r.name.startswith(m)) for m in ("forest", "tree")]
+    assert all(abs(w - 1) < 1e-6 for w in weights)
+    line = {(r.part, r.name): r.value for r in ML.cross_validated_regression(df, ["a", "c"], "y", ["id"]).collect()}
+    assert line["held out", "r2"] > 0.9 and abs(line["coefficient", "a"] - 2) < 0.3
+
+
+def test_anomalies_are_the_farthest_rows(spark):
+    from kestrel.ml import jobs as ML
+    from pyspark.ml.linalg import Vectors
+    rand = random.Random(1)
+    rows = [(i, Vectors.dense([c + rand.gauss(0, 0.1), c + rand.gauss(0, 0.1)])) for i, c in enumerate([0, 10] * 100)]
+    rows += [(900 + i, Vectors.dense([5.0, 5.0])) for i in range(6)]                  # ties beyond the threshold
+    df = spark.createDataFrame(rows, ["id", "f"])
+    out = ML.anomalies(df, "f", k=2, top=4).collect()
+    assert {r.id for r in out} >= {900 + i for i in range(6)} and sorted(r["rank"] for r in out) == list(range(1, len(out) + 1))
+    far = [r.distance for r in sorted(out, key=lambda r: r["rank"])]
+    assert far == sorted(far, reverse=True)
+    sweep = {r.k: r for r in ML.entropy_sweep(df.withColumn("label", (F.col("id") % 2).cast("string")), "f", "label", [2, 4]).collect()}
+    assert sweep[2].silhouette > 0.8 and sweep[2].weighted_entropy < 0.2
+
+
+def test_samples_and_random_numbers_keep_their_promises(spark):
+    from kestrel.plans.registry import load_all
+    reg, sf = load_all(), "/root/testdata/sf0.01"
+    orders = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey")
+    n = orders.count()
+    some = reg["sample_bernoulli_seeded"].fn(spark, sf)
+    keys = [r[0] for r in some.collect()]
+    assert 0.08 * n < len(keys) < 0.12 * n and len(set(keys)) == len(keys)
+    assert some.join(orders, "o_orderkey", "left_anti").count() == 0
+    assert sorted(keys) == sorted(r[0] for r in reg["sample_bernoulli_seeded"].fn(spark, sf).collect())
+    parts = {r.split: r.n for r in reg["random_split_by_hash"].fn(spark, sf).collect()}
+    assert sum(parts.values()) == n and 0.17 * n < min(parts.values()) < 0.23 * n
+    u = reg["random_numbers_seeded"].fn(spark, sf).agg(F.min("u"), F.max("u"), F.avg("u"), F.min("die"), F.max("die"), F.count_distinct("die")).first()
+    assert 0 <= u[0] and u[1] < 1 and 0.45 < u[2] < 0.55 and (u[3], u[4], u[5]) == (0, 5, 6)
+    near = {r.o_orderstatus: r for r in reg["percentile_approx_sketch"].fn(spark, sf).collect()}
+    exact = spark.read.parquet(f"{sf}/orders.parquet").groupBy("o_orderstatus").agg(
+        F.percentile("o_totalprice", 0.5).alias("m"), F.count_distinct("o_custkey").alias("c")).collect()
+    for r in exact:
+        assert abs(near[r.o_orderstatus].median_approx - r.m) < 0.02 * r.m
+        assert abs(near[r.o_orderstatus].customers_approx - r.c) < 0.2 * r.c
