@@ -16,8 +16,9 @@ Steps, all as Spark jobs:
 2. Of every set, the shingles in the lowest share of the hash space are counted.
    A set with more than ``n - overlap`` shingles of its own has no partner, so
    most documents leave here, before their shingles are ever sorted.
-3. The sets of the others are fetched once; all their shingles get their exact
-   document frequency among them; prefixes and ``l`` are chosen.
+3. The sets of the others are fetched once; all their shingles get their document
+   frequency among them (exact, but for the few that very many sets have: those are
+   found first, and no task gathers their rows); prefixes and ``l`` are chosen.
 4. Per prefix shingle, every set is verified against the earliest document that
    has it.  In a group of copies this joins nearly all of them to the original
    in linear work.  The links' components follow.
@@ -47,6 +48,9 @@ LOW_SHARE = 0.3
 _LOW = np.uint64(int(LOW_SHARE * 2 ** 64))
 MAX_MATCHES = 3
 VERIFY_WEIGHT = 8.0       # postings visited in the time of one verification
+_LOCAL = 64               # sets of one task with a shingle that then counts as shared
+_HELD = 1 << 21           # shingles that a task holds before it counts them
+_HOT = 20_000             # sets with a shingle that is then not counted in one task
 
 
 def _sets(column: pa.Array, k: int):
@@ -73,47 +77,133 @@ def _stats(k: int):
 
 
 def _low_tokens(k: int):
+    """(token, sid, credit): the low shingles of the distinct sets of a task.  Of a
+    shingle that ``_LOCAL`` sets of the task have, it is known here that sets share
+    it: each set's number of those is shipped as its credit, and one row of the
+    shingle (credit -1) tells the other tasks.  So a shingle in any share of the
+    texts is a few rows per task."""
     @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            token, sid = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(token, kind="stable")
+            token, sid = token[order], sid[order]
+            head = np.flatnonzero(group_starts(token))
+            count = np.diff(np.append(head, len(token)))
+            many = np.repeat(count >= _LOCAL, count)
+            yield from emit(["token", "sid", "credit"], [token[~many], sid[~many], np.zeros(int((~many).sum()), np.int64)])
+            if many.any():
+                at = head[count >= _LOCAL]
+                yield from emit(["token", "sid", "credit"], [token[at], sid[at], np.full(len(at), -1)])
+                own, credit = np.unique(sid[many], return_counts=True)
+                yield from emit(["token", "sid", "credit"], [own, own, credit.astype(np.int64)])
+
         for b in batches:
-            for lo, hi, row, size, sid, bound, value in _sets(b.column(0), k):
+            for lo, hi, row, set_size, sid, bound, value in _sets(b.column(0), k):
                 new = np.zeros(hi - lo, bool)
                 for i, s in enumerate(sid.tolist()):
-                    if size[i] and s not in seen:
+                    if set_size[i] and s not in seen:
                         seen.add(s)
                         new[i] = True
                 keep = new[row] & (value < _LOW)
-                yield from emit(["token", "sid"], [(value[keep] >> np.uint64(16)).view(np.int64),
-                                                   signed(sid)[row[keep]]])
+                held.append(((value[keep] >> np.uint64(16)).view(np.int64), signed(sid)[row[keep]]))
+                size += len(held[-1][0])
+                if size >= _HELD:
+                    yield from rows()
+                    held, size = [], 0
+        if size:
+            yield from rows()
     return run
 
 
-def _by_token(batches: Iterable[pa.RecordBatch]):
-    """Distinct (token, sid) of a partition in order, and each one's document
-    frequency; a partition holds all rows of its tokens."""
-    token, sid = gathered(batches, ["token", "sid"])
-    order = np.lexsort((sid, token))
-    token, sid = token[order], sid[order]
+@tidy
+def _count_shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(sid, shared): how many of a set's low shingles other sets have too, at
+    least; a partition holds all rows of its shingles."""
+    token, sid, credit = gathered(batches, ["token", "sid", "credit"])
+    known = credit > 0
+    yield from emit(["sid", "shared"], [sid[known], credit[known]])
+    token, sid, told = token[~known], sid[~known], credit[~known] < 0
+    order = np.lexsort((~told, sid, token))              # of equal rows, one that was credited already
+    token, sid, told = token[order], sid[order], told[order]
     first = group_starts(token, sid)
-    token, sid = token[first], sid[first]
+    token, sid, told = token[first], sid[first], told[first]
     head = np.flatnonzero(group_starts(token))
     count = np.diff(np.append(head, len(token)))
-    return token, sid, np.repeat(count, count)
+    if not len(head):
+        return
+    shared = np.repeat((count > 1) | np.logical_or.reduceat(told, head), count)
+    ids, n = np.unique(sid[shared & ~told], return_counts=True)
+    yield from emit(["sid", "shared"], [ids, n.astype(np.int64)])
 
 
-@tidy
-def _count_shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    _, sid, df = _by_token(batches)
-    ids, shared = np.unique(sid[df > 1], return_counts=True)
-    yield from emit(["sid", "shared"], [ids, shared.astype(np.int64)])
+def _frequent_tokens(total: int, least: int):
+    """(token, c): shingles that are frequent among those that a task holds."""
+    @tidy
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
 
+        def rows() -> Iterator[pa.RecordBatch]:
+            token, c = np.unique(np.concatenate(held), return_counts=True)
+            some = c >= max(2, least * size // (4 * total))
+            yield from emit(["token", "c"], [token[some], c[some].astype(np.int64)])
 
-@tidy
-def _frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    token, sid, df = _by_token(batches)
-    m = df > 1
-    yield from emit(["sid", "token", "df"], [sid[m], token[m], df[m].astype(np.int64)])
+        for b in batches:
+            held += [np.frombuffer(x.as_py(), np.int64) for x in b.column(0)]
+            size = sum(map(len, held))
+            if size >= _HELD:
+                yield from rows()
+                held, size = [], 0
+        if size:
+            yield from rows()
+    return run
+
+
+def _hot_tokens(sets: DataFrame, total: int, least: int | None = None) -> dict[int, int]:
+    """Shingles that about ``least`` sets have, or more, with about their number:
+    at most four in three of ``total / least``.  ``least`` is ``_HOT``, or a
+    100,000th of all shingles where that is more, so their table has a fixed bound.
+
+    A task reports the shingles whose share of what it holds is a quarter of that;
+    what no task reports of a shingle adds up to a quarter, so every shingle of
+    ``least`` sets is found."""
+    least = least or max(_HOT, total // 100_000)
+    if total < least:
+        return {}
+    rows = (sets.select("tokens").mapInArrow(_frequent_tokens(total, least), "token long, c long")
+            .groupBy("token").agg(F.sum("c").alias("c")).where(F.col("c") >= least * 3 // 4).collect())
+    return {r.token: r.c for r in rows}
+
+
+def _frequencies(hot: dict[int, int]):
+    """(sid, token, df) of shingles that several sets have; a partition holds all
+    rows of its shingles, but for hot ones, whose number is known."""
+    tokens = np.array(sorted(hot), np.int64)
+    counts = np.array([hot[t] for t in tokens.tolist()], np.int64)
+
+    @tidy
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token, sid = gathered(batches, ["token", "sid"])
+        if len(tokens):
+            at = np.minimum(np.searchsorted(tokens, token), len(tokens) - 1)
+            known = tokens[at] == token
+            yield from emit(["sid", "token", "df"], [sid[known], token[known], counts[at[known]]])
+            token, sid = token[~known], sid[~known]
+        order = np.lexsort((sid, token))
+        token, sid = token[order], sid[order]
+        first = group_starts(token, sid)
+        token, sid = token[first], sid[first]
+        head = np.flatnonzero(group_starts(token))
+        count = np.diff(np.append(head, len(token)))
+        df = np.repeat(count, count)
+        m = df > 1
+        yield from emit(["sid", "token", "df"], [sid[m], token[m], df[m].astype(np.int64)])
+    return run
 
 
 def _whole_sets(k: int):
@@ -131,14 +221,24 @@ def _whole_sets(k: int):
     return run
 
 
-@tidy
-def _explode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        sid = b.column("sid").to_numpy(zero_copy_only=False)
-        parts = [np.frombuffer(x.as_py(), np.int64) for x in b.column("tokens")]
-        if parts:
-            yield from emit(["token", "sid"], [np.concatenate(parts),
-                                               np.repeat(sid, [len(p) for p in parts])])
+def _explode(hot: dict[int, int]):
+    """(token, sid) of all sets; with hot shingles also ``deal``, by which rows go
+    to tasks: the shingle, but for a hot one the set."""
+    tokens = np.array(sorted(hot), np.int64)
+
+    @tidy
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sid = b.column("sid").to_numpy(zero_copy_only=False)
+            parts = [np.frombuffer(x.as_py(), np.int64) for x in b.column("tokens")]
+            if parts:
+                token, own = np.concatenate(parts), np.repeat(sid, [len(p) for p in parts])
+                if not len(tokens):
+                    yield from emit(["token", "sid"], [token, own])
+                    continue
+                at = np.minimum(np.searchsorted(tokens, token), len(tokens) - 1)
+                yield from emit(["token", "sid", "deal"], [token, own, np.where(tokens[at] == token, own, token)])
+    return run
 
 
 def overlap(n, percent: int):
@@ -229,7 +329,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    k: int = 5, percent: int = 80) -> DataFrame:
+                    k: int = 5, percent: int = 80, hot_sets: int | None = None) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles`` and
     ``component_id``, the smallest id reachable over links.
 
@@ -238,6 +338,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Repeated rows come out as often as they went in.  Rows of one id and
     different texts are different documents; a null id is never the smallest of
     a group, and alone has a null component.  Other columns are not looked at.
+    ``hot_sets`` overrides from how many sets on a shingle counts as hot; the
+    result is the same.
     """
     spark = docs.sparkSession
     src = source(docs, id_col, text_col)
@@ -245,7 +347,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = stored(stats.where("n > 0").groupBy("sid").agg(
         F.min("doc_id").alias("first"), F.min("n").alias("n"), F.min("low").alias("low")), "shingle-classes")
     low, = classes.agg(F.sum("low")).first()
-    shared = (src.select("text").mapInArrow(_low_tokens(k), "token long, sid long")
+    shared = (src.select("text").mapInArrow(_low_tokens(k), "token long, sid long, credit long")
               .repartition(width(spark, low or 0), "token")
               .mapInArrow(_count_shared, "sid long, shared long")
               .groupBy("sid").agg(F.sum("shared").alias("shared")))
@@ -265,9 +367,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                   .join(able.select("sid"), "sid", "left_semi")
                   .groupBy("sid").agg(F.min("first").alias("first"), F.min("n").alias("n"),
                                       F.first("tokens").alias("tokens")), "shingle-sets")
-    freq = (sets.select("sid", "tokens").mapInArrow(_explode, "token long, sid long")
-            .repartition(width(spark, size or 0), "token")
-            .mapInArrow(_frequencies, "sid long, token long, df long")
+    hot = _hot_tokens(sets, size or 0, hot_sets)
+    freq = (sets.select("sid", "tokens").mapInArrow(_explode(hot), "token long, sid long" + ", deal long" * bool(hot))
+            .repartition(width(spark, size or 0), "deal" if hot else "token").select("token", "sid")
+            .mapInArrow(_frequencies(hot), "sid long, token long, df long")
             .groupBy("sid").agg(F.collect_list(F.struct("df", "token")).alias("shared")))
     prefix = stored(freq.join(sets.select("sid", "first", "n"), "sid")
                     .select("sid", "first", "n", "shared")

@@ -101,8 +101,33 @@ def test_jaccard_hot_group_is_whole(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     group = components_of([shingles(t) for t in texts])
     least = {g: min(i for i, x in enumerate(group) if x == g) for g in group}
-    assert {r.doc_id: r.component_id for r in jaccard.near_duplicates(df).collect()} == {
-        i: least[g] for i, g in enumerate(group)}
+    want = {i: least[g] for i, g in enumerate(group)}
+    assert {r.doc_id: r.component_id for r in jaccard.near_duplicates(df).collect()} == want
+    # one task holds the whole group, and nearly all shingles count as hot
+    hot = jaccard.near_duplicates(df.coalesce(1), hot_sets=12)
+    assert {r.doc_id: r.component_id for r in hot.collect()} == want
+
+
+def test_hot_shingles_are_known_without_their_rows(spark):
+    texts = [f"{'common words of a licence text ' * 3} only here {i}" for i in range(200)] + ["quite another text of its own"] * 3
+    low = [b for b in jaccard._low_tokens(5)([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])])]
+    token, sid, credit = (np.concatenate([b.column(i).to_numpy() for b in low]) for i in range(3))
+    sets = {frozenset(x) for x in map(shingles, texts)}
+    value = {}
+    for _, _, row, size, sids, bound, v in jaccard._sets(pa.array(texts), 5):
+        for r, s in enumerate(sids.tolist()):
+            value[np.uint64(s).view(np.int64).item()] = {int(x) >> 16 for x in v[bound[r]:bound[r + 1]] if x < jaccard._LOW}
+    assert len(value) == len(sets)
+    have = collections.Counter(x for v in value.values() for x in v)
+    got = collections.Counter()
+    for b in jaccard._count_shared(low):
+        got.update(dict(zip(b.column(0).to_pylist(), b.column(1).to_pylist())))
+    for s, v in value.items():
+        assert got[s] == sum(have[x] > 1 for x in v)
+    assert (credit == -1).sum() == sum(n >= 64 for n in have.values()) > 0
+    table = spark.createDataFrame([(bytearray(np.array(sorted(v), np.int64).tobytes()),) for v in value.values()], "tokens binary")
+    hot = jaccard._hot_tokens(table, sum(map(len, value.values())), 100)
+    assert hot == {x: n for x, n in have.items() if n >= 75}
 
 
 def test_components(spark):
