@@ -137,7 +137,7 @@ def with_shipped_digit_sum(df: DataFrame, text: str, out: str) -> DataFrame:
 def make_split_udtf():
     from pyspark.sql.functions import udtf
 
-    @udtf(returnType="word string, pos int")
+    @udtf(returnType="word string, pos int", useArrow=True)
     class SplitWords:
         def eval(self, text: str):
             if text is None:

@@ -101,7 +101,7 @@ def bull_put_spread(options: DataFrame, index_close: DataFrame, sell_steps: int,
     put ``sell_steps`` steps away (psl), buy the put ``buy_steps`` away (pbl),
     price both legs at that day's close, settle at the index close on the
     expiry date.  Legs are made unique per (trade date, expiry, strike)
-    first, so the sell × buy join is 1:1 (fixes the reference's always-true
+    first, so a sell leg meets one buy leg (fixes the reference's always-true
     predicate).  The index-close table has one row per calendar day; Spark plans
     its joins by size."""
     idx = index_close.select(F.col(idx_date).alias("__d"), F.col(idx_close).alias("__c"))
@@ -111,11 +111,12 @@ def bull_put_spread(options: DataFrame, index_close: DataFrame, sell_steps: int,
         "__atm", F.floor(F.col("__c") / step) * step)
     j = (j.withColumn("psl", F.col("__atm") + F.lit(sell_steps * step))
           .withColumn("pbl", F.col("__atm") + F.lit(buy_steps * step)))
-    sell = (j.where(F.col(strike) == F.col("psl"))
-             .select(trade_date, expiry, "psl", "pbl", F.col("__c").alias("nclose"), F.col("__px").alias("pspr")))
-    buy = (j.where(F.col(strike) == F.col("pbl"))
-            .select(F.col(trade_date).alias("__bt"), F.col(expiry).alias("__be"), F.col("__px").alias("pbpr")))
-    legs = sell.join(buy, (sell[trade_date] == buy["__bt"]) & (sell[expiry] == buy["__be"])).drop("__bt", "__be")
+    # both legs from one pass over the puts: a strike is the sell leg, the buy leg or none
+    legs = (j.where((F.col(strike) == F.col("psl")) | (F.col(strike) == F.col("pbl")))
+             .groupBy(trade_date, expiry, "psl", "pbl", F.col("__c").alias("nclose"))
+             .agg(F.max(F.when(F.col(strike) == F.col("psl"), F.col("__px"))).alias("pspr"),
+                  F.max(F.when(F.col(strike) == F.col("pbl"), F.col("__px"))).alias("pbpr"))
+             .where("pspr IS NOT NULL AND pbpr IS NOT NULL"))
     settle = idx.select(F.col("__d").alias("__ed"), F.col("__c").alias("expclosingpr"))
     out = legs.join(settle, legs[expiry] == settle["__ed"]).drop("__ed")
     payoff = (F.col("pspr") - F.col("pbpr")

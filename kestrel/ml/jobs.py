@@ -71,6 +71,28 @@ def entropy_sweep(df: DataFrame, features: str, label: str, ks: list[int], seed:
     return spark.createDataFrame(rows, "k int, weighted_entropy double, silhouette double")
 
 
+def cost_sweep(df: DataFrame, features: str, text_col: str, ks: list[int], seed: int = 1) -> DataFrame:
+    """M3/M9: (variant, k, cost): the mean squared distance to the nearest centre
+    for growing k, in four variants: ``raw`` features with few iterations,
+    ``iterated`` (more of them, to a smaller tolerance), ``scaled`` to unit
+    deviation, and ``encoded``, scaled with the string column as one-hot slots
+    beside them.  Costs are comparable within a variant."""
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+    index = StringIndexer(inputCol=text_col, outputCol="__index", handleInvalid="keep")
+    hot = OneHotEncoder(inputCol="__index", outputCol="__hot")
+    both = VectorAssembler(inputCols=[features, "__hot"], outputCol="__both")
+    data = written(Pipeline(stages=[index, hot, both]).fit(df).transform(df).select(features, "__both"), "sweep")
+    n = data.count()
+    rows = []
+    for variant, col, scale, rounds, tol in (("raw", features, False, 5, 1e-4), ("iterated", features, False, 40, 1e-5),
+                                             ("scaled", features, True, 40, 1e-5), ("encoded", "__both", True, 40, 1e-5)):
+        for k in ks:
+            pipe, _ = kmeans_pipeline(col, k, seed, rounds, scale)
+            pipe.getStages()[-1].setTol(tol)
+            rows.append((variant, k, float(pipe.fit(data).stages[-1].summary.trainingCost) / max(n, 1)))
+    return df.sparkSession.createDataFrame(rows, "variant string, k int, cost double")
+
+
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
     """Class proportions divided by the computed total."""
     c = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))

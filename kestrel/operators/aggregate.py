@@ -157,6 +157,12 @@ def _null_safe_left(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
     return left.join(renamed, same, "left").drop(*[f"__k{i}" for i in range(len(keys))])
 
 
+def count_within(df: DataFrame, seconds: float, confidence: float = 0.95) -> int:
+    """The number of rows as known after ``seconds``: exact if the count has
+    ended by then, else the mean of what the finished tasks suggest."""
+    return df.select(F.lit(1).alias("one")).rdd.countApprox(int(1000 * seconds), confidence)
+
+
 def weighted_entropy(df: DataFrame, cluster: str, label: str) -> DataFrame:
     """Σ_clusters n_c · H(labels in c) / N — size-weighted label entropy
     (natural log).  Two small aggregates; no per-cluster collect."""

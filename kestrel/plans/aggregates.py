@@ -222,6 +222,14 @@ def _(spark, sf):
                                           F.approx_count_distinct("o_custkey").alias("customers_approx"))
 
 
+@query("count_within_a_time_limit", "D36", """
+SELECT count(*) AS n FROM orders
+""", note="a limit that the count does not reach, so the estimate is the count")
+def _(spark, sf):
+    n = A.count_within(T(spark, sf).orders.select("o_orderkey"), 600)
+    return spark.range(1).select(F.lit(n).cast("bigint").alias("n"))
+
+
 @query("histogram_even_buckets", "D34", """
 WITH mm AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders),
 b AS (SELECT CAST(least(floor((o_totalprice - lo) / ((hi - lo) / 10)), 9) AS INTEGER) AS bucket

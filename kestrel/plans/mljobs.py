@@ -24,7 +24,7 @@ def _(spark, sf):
     return a.select("vec_id", "label", "cluster", F.round("distance", 6).alias("distance"), "rank")
 
 
-@query("kmeans_entropy_sweep", "L38,M8,M9,M10,D38", note="rows-only: one row per k")
+@query("kmeans_entropy_sweep", "L38,M8,M10,D38", note="rows-only: one row per k")
 def _(spark, sf):
     return ML.entropy_sweep(vectors(spark, sf), "features", "label", [2, 4, 8], max_iter=5)
 
@@ -42,6 +42,22 @@ def _(spark, sf):
     return dist.crossJoin(acc).select("label", "n", fixed("p", 9).alias("p"), fixed("accuracy", 9).alias("random_guess"))
 
 
+@query("kmeans_cost_sweep_variants", "M3,M5,M7,M9", note="rows-only: k-means costs")
+def _(spark, sf):
+    return ML.cost_sweep(vectors(spark, sf).withColumn("label", F.col("label").cast("string")), "features", "label", [2, 4, 8])
+
+
+@query("random_guess_of_a_test_set", "L41", """
+WITH p AS (SELECT vec_id % 5 = 0 AS test, label, count(*) AS n FROM embeddings GROUP BY ALL),
+q AS (SELECT test, label, n / sum(n) OVER (PARTITION BY test) AS p FROM p)
+SELECT floor(sum(a.p * b.p) * 1e9 + 0.5) / 1e9 AS accuracy FROM q a JOIN q b ON a.label = b.label AND NOT a.test AND b.test
+""")
+def _(spark, sf):
+    e = Tables(spark, sf).embeddings
+    acc = ML.random_guess_accuracy(e.where("vec_id % 5 <> 0"), e.where("vec_id % 5 = 0"), "label")
+    return acc.select(fixed("accuracy", 9).alias("accuracy"))
+
+
 @query("random_forest_tuned_confusion", "M18,M19", note="rows-only: confusion matrix rows")
 def _(spark, sf):
     from pyspark.ml.feature import VectorIndexer

@@ -17,7 +17,7 @@ def T(spark, sf):
     return Tables(spark, sf)
 
 
-@query("array_item_by_position", "H2,H41,I10", """
+@query("array_item_by_position", "H2,I10", """
 SELECT event_id, string_split(props, '"')[2] AS key_name,
        TRY_CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k_value,
        CAST(TRY_CAST(string_split(props, ' ')[5] AS BIGINT) AS VARCHAR) AS missing_field
@@ -31,6 +31,15 @@ def _(spark, sf):
                     F.get(F.split("props", " "), 4).try_cast("bigint").cast("string").alias("missing_field"))
 
 
+@query("string_times_number", "H41", """
+SELECT l_orderkey, l_linenumber, l_quantity * l_extendedprice AS product FROM lineitem
+""")
+def _(spark, sf):
+    """A number kept as text meets a number: the engine casts it."""
+    li = T(spark, sf).lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", F.col("l_quantity").cast("string").alias("q"))
+    return li.select("l_orderkey", "l_linenumber", (F.col("q") * F.col("l_extendedprice")).alias("product"))
+
+
 @query("regex_extract_and_replace", "H9,H12,H15", """
 SELECT page_id, regexp_extract(url, '^https?://([^/]+)/', 1) AS host,
        regexp_extract(url, '/([a-z]{2})/', 1) AS lang,

@@ -176,3 +176,15 @@ def test_samples_and_random_numbers_keep_their_promises(spark):
     for r in exact:
         assert abs(near[r.o_orderstatus].median_approx - r.m) < 0.02 * r.m
         assert abs(near[r.o_orderstatus].customers_approx - r.c) < 0.2 * r.c
+
+
+def test_cost_sweep_variants(spark):
+    from kestrel.ml import jobs as ML
+    from pyspark.ml.linalg import Vectors
+    rand = random.Random(5)
+    rows = [(Vectors.dense([rand.gauss(c * 5, 1), rand.gauss(c, 1), 100 * rand.random()]), f"s{c}") for c in range(3) for _ in range(60)]
+    got = {(r.variant, r.k): r.cost for r in ML.cost_sweep(spark.createDataFrame(rows, ["f", "s"]), "f", "s", [2, 3, 6]).collect()}
+    assert len(got) == 12
+    for v in ("raw", "iterated", "scaled", "encoded"):
+        assert got[v, 2] > got[v, 3] > got[v, 6] > 0
+    assert got["iterated", 6] <= got["raw", 6] * 1.2
