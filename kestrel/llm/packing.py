@@ -14,9 +14,9 @@ padding is zero, memory is bounded, and nothing is dropped.
 
 from __future__ import annotations
 
-import itertools
 import os
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -26,30 +26,66 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import source, tidy
+from .words import mix, powers
 
-CACHE_BYTES = 56 << 20     # of a worker, with what Python adds to each entry; besides, the words of 256 texts
-_ENTRY = 190               # bytes of an entry besides its letters and ids
+CACHE_BYTES = 40 << 20     # of a worker's arrays of words; besides, the words of one group of texts
+_ENTRY = 24                # bytes of a word in those arrays, besides its ids
+_RARE_BYTES = 8 << 20      # of the chunks of texts that are split in Python
+_GROUP = 1 << 20           # characters split at once, or one longer text
 _ODD = re.compile("[\x1c-\x1f\x01]")      # white space to Python only, and the border below
 _PLAIN = re.compile("[^\x01\x1c-\x1f\u0130-\U0010ffff]*\\Z")
-_OTHER_POINT = re.compile("[.,](?<![a-z0-9\xdf-\xf6\xf8-\u012f][.,])(?=[ \n])")
-_POINTS = ((". ", " . "), (", ", " , "), (".\n", " .\n"), (",\n", " ,\n"))
 _BORDER = "\x01"
 
+# Kinds of the characters below U+0130, as the splitting pattern of the tokenizer has them:
+# 0 white space, 1 letters, 2 numbers (each by itself), 3 the others.
+_KIND = np.array([{"L": 1, "N": 2}.get(unicodedata.category(chr(c))[0], 3) for c in range(0x130)], np.uint8)
+_KIND[[9, 10, 11, 12, 13, 32, 0x85, 0xA0]] = 0
+_VALUE = mix(np.arange(1, 0x131, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+_CHECK = mix(_VALUE + np.uint64(0x2545F4914F6CDD1D))
+
+
+def _split(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of a text in lower case, given by its code
+    points below U+0130: runs of letters, single numbers, runs of others, and the
+    short forms 's 't 'm 'd 're 've 'll, whose mark begins a word."""
+    kind = np.zeros(len(code) + 2, np.uint8)
+    kind[1:-1] = _KIND[code]
+    new = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    begin, end = new[:-1] & (kind[1:-1] != 0), (new[1:] | (kind[1:-1] == 2)) & (kind[1:-1] != 0)
+    mark = np.flatnonzero((code == 39) & begin & end)
+    if len(mark):
+        after = np.zeros((2, len(mark)), code.dtype)
+        for k in (0, 1):
+            inside = mark + 1 + k < len(code)
+            after[k, inside] = code[mark[inside] + 1 + k]
+        one = np.isin(after[0], [ord(c) for c in "stmd"])
+        two = np.zeros(len(mark), bool)
+        for x, y in ("re", "ve", "ll"):
+            two |= (after[0] == ord(x)) & (after[1] == ord(y))
+        mark, size = mark[one | two], np.where(one, 1, 2)[one | two]
+        end[mark] = False
+        begin[mark + 1] = False
+        last = mark + size
+        more = np.flatnonzero(~end[last])           # letters behind a short form are a word of their own
+        begin[last[more] + 1] = True
+        end[last] = True
+    return np.flatnonzero(begin), np.flatnonzero(end) + 1
+
 
 class WordCacheEncoder:
     """Token ids of texts as little-endian uint32 bytes.
 
-    The tokenizer treats white space as a hard border, so ids of a text are the
-    ids of its white-space chunks in a row; likewise a single point or comma
-    after a letter or digit is a token border of its own.  Each distinct chunk
-    is encoded once by the tokenizer, in bulk: chunks of letters are told apart by
-    the end-of-word pieces, others by a border character between them.  When the
-    cache is full, the words that came first stay, up to half of its bytes.  Texts below U+0130 are put in
-    lower case first, as the tokenizer would do; there this changes no character
-    count and there are no combining marks, so their chunks skip its normalizer,
-    and those of letters its splitting pattern too.  Python's ``split`` also cuts
-    at U+001C-U+001F, which the tokenizer does not: texts with those characters,
-    with the border or with the name of a special token are encoded whole.
+    The tokenizer splits a text into words and encodes each by itself.  Texts below
+    U+0130 are put in lower case and split in numpy as it would do (there this
+    changes no character count, and nothing is composed); each distinct word is
+    encoded once by the tokenizer, in bulk, and its ids stay in arrays, found by a
+    64-bit fingerprint and a second one that must agree.  When the arrays are full,
+    the words that came first stay, up to half of the bytes.
+
+    Other texts are cut at white space and their distinct chunks are encoded, told
+    apart by a border character; Python's ``split`` also cuts at U+001C-U+001F, which
+    the tokenizer does not: texts with those characters, with the border or with the
+    name of a special token are encoded whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -66,10 +102,16 @@ class WordCacheEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
-        self.cache: dict[str, bytes] = {}
-        self.held = 0
+        self.rare: dict[str, bytes] = {}
+        self.rare_held = 0
+        self._clear()
+
+    def _clear(self) -> None:
+        self.key, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.ids = np.zeros(0, np.uint32)
 
-    def _add(self, words: list[str], tokenizer, between: str, cut) -> None:
+    def _add(self, out: dict[str, bytes], words: list[str], tokenizer, between: str, cut) -> None:
         """Encode chunks in texts of 64; ``cut`` gives, of a text's ids, where
         each chunk ends and where the next begins."""
         groups = [words[i:i + 64] for i in range(0, len(words), 64)]
@@ -83,11 +125,10 @@ class WordCacheEncoder:
                 raise ValueError("the tokenizer doesn't cut chunks as expected")
             raw, a = ids.tobytes(), 0
             for word, z, b in zip(group, (4 * ends).tolist(), (4 * nexts).tolist()):
-                self.cache[word] = raw[a:z]
-                self.held += _ENTRY + len(word) + z - a
+                out[word] = raw[a:z]
                 a = b
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
         letters, plain, others = [], [], []
         for w in words:
             (others if not w.isascii() and max(w) >= "\u0130" else letters if w.isalpha() else plain).append(w)
@@ -100,43 +141,100 @@ class WordCacheEncoder:
             z = np.flatnonzero(ids == self.border)
             return z, z + 1
 
-        self._add(letters, self.letters, " ", at_last)
-        self._add(plain, self.plain, f" {_BORDER} ", at_border)
-        self._add(others, self.tokenizer, f" {_BORDER} ", at_border)
+        out: dict[str, bytes] = {}
+        self._add(out, letters, self.letters, " ", at_last)
+        self._add(out, plain, self.plain, f" {_BORDER} ", at_border)
+        self._add(out, others, self.tokenizer, f" {_BORDER} ", at_border)
+        return out
 
-    def _ids(self, text: str) -> bytes:
+    def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _parts(self, text: str) -> list[str] | None:
-        low = text.lower()
-        if any(s in low for s in self.special):
-            return None
-        if not _PLAIN.match(text):
-            return None if _ODD.search(text) else text.split()
-        if not _OTHER_POINT.search(low):
-            for a, b in _POINTS:
-                low = low.replace(a, b)
-        return low.split()
-
     def shrink(self) -> None:
         """Frequent words come early: the first ones stay, up to half of the bytes."""
-        if self.held <= CACHE_BYTES:
+        if len(self.key) * _ENTRY + 4 * len(self.ids) <= CACHE_BYTES:
             return
-        self.held = kept = 0
-        for w, x in self.cache.items():
-            self.held += _ENTRY + len(w) + len(x)
-            if self.held > CACHE_BYTES // 2:
-                break
-            kept += 1
-        self.cache = dict(itertools.islice(self.cache.items(), kept))
+        order = np.argsort(self.at, kind="stable")
+        held = np.cumsum(_ENTRY + 4 * self.size[order].astype(np.int64))
+        first = order[:int(np.searchsorted(held, CACHE_BYTES // 2))]
+        first.sort()
+        self.key, self.check, self.at, self.size = self.key[first], self.check[first], self.at[first], self.size[first]
+        self.ids = self.ids[:int((self.at + self.size).max(initial=0))].copy()
+
+    def _group(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts in lower case, all below U+0130."""
+        joined = "\n".join(texts)
+        code = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        start, end = _split(code)
+        up, down = powers(len(code) + 1)
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_VALUE[code] * up[:-1])))
+        key = mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_CHECK[code])))
+        check = ((total[end] - total[start]) >> np.uint64(32)).astype(np.uint32)
+        words, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+        if (check != check[first][inverse]).any():           # two words of one fingerprint: one by one
+            return [self._whole(t) for t in texts]
+        at = np.searchsorted(self.key, words)
+        known = np.zeros(len(words), bool)
+        inside = np.flatnonzero(at < len(self.key))
+        known[inside] = (self.key[at[inside]] == words[inside]) & (self.check[at[inside]] == check[first[inside]])
+        begin, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        begin[known], size[known] = self.at[at[known]], self.size[at[known]]
+        fresh = np.flatnonzero(~known)
+        ids = self.ids
+        if len(fresh):
+            spelled = [joined[a:z] for a, z in zip(start[first[fresh]].tolist(), end[first[fresh]].tolist())]
+            learnt = self._learn(spelled)
+            raw = [learnt[w] for w in spelled]
+            size[fresh] = [len(x) // 4 for x in raw]
+            begin[fresh] = len(ids) + np.cumsum(size[fresh]) - size[fresh]
+            ids = self.ids = np.concatenate((ids, np.frombuffer(b"".join(raw), "<u4")))
+            place = at[fresh]
+            taken, inside = np.zeros(len(fresh), bool), np.flatnonzero(place < len(self.key))
+            taken[inside] = self.key[place[inside]] == words[fresh[inside]]     # by another word: not kept
+            fresh, place = fresh[~taken], place[~taken]
+            for name, x in (("key", words), ("check", check[first]), ("at", begin), ("size", size)):
+                held = getattr(self, name)
+                setattr(self, name, np.insert(held, place, x[fresh].astype(held.dtype)))
+        size, begin = size[inverse], begin[inverse]
+        ends = np.concatenate(([0], np.cumsum(size)))
+        flat = ids[np.arange(int(ends[-1])) + np.repeat(begin - ends[:-1], size)]
+        lengths = np.array([len(t) + 1 for t in texts])
+        border = ends[np.searchsorted(start, np.concatenate(([0], np.cumsum(lengths))))].tolist()
+        return [flat[a:z].tobytes() for a, z in zip(border[:-1], border[1:])]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        self.shrink()
-        parts = [self._parts(t) for t in texts]
-        missing = set().union(*(p for p in parts if p)).difference(self.cache)
-        self._learn(list(missing))
-        get = self.cache.__getitem__
-        return [self._ids(text) if p is None else b"".join(map(get, p)) for text, p in zip(texts, parts)]
+        out: list[bytes] = [b""] * len(texts)
+        plain, split = [], []
+        for i, t in enumerate(texts):
+            low = t.lower()
+            if any(s in low for s in self.special):
+                out[i] = self._whole(t)
+            elif _PLAIN.match(t):
+                plain.append((i, low))
+            elif _ODD.search(t):
+                out[i] = self._whole(t)
+            else:
+                split.append((i, t.split()))
+        lo = size = 0
+        for n, (_, low) in enumerate(plain + [(0, "")]):
+            if n == len(plain) or size and size + len(low) > _GROUP:
+                self.shrink()
+                if n > lo:
+                    for (i, _), raw in zip(plain[lo:n], self._group([t for _, t in plain[lo:n]])):
+                        out[i] = raw
+                lo, size = n, 0
+            size += len(low)
+        missing = set().union(*(p for _, p in split)).difference(self.rare)
+        if self.rare_held > _RARE_BYTES:
+            self.rare, self.rare_held = {}, 0
+            missing = set().union(*(p for _, p in split))
+        learnt = self._learn(list(missing))
+        self.rare.update(learnt)
+        self.rare_held += sum(190 + len(w) + len(x) for w, x in learnt.items())
+        for i, p in split:
+            out[i] = b"".join(map(self.rare.__getitem__, p))
+        return out
 
 
 _ENCODERS: dict[str, WordCacheEncoder] = {}

@@ -171,6 +171,25 @@ def test_word_cache_equals_tokenizer():
             np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in part]
 
 
+def test_word_arrays_are_bounded_and_right_when_full(monkeypatch):
+    """Short forms, and arrays that are cut back again and again."""
+    import random
+
+    from tokenizers import Tokenizer
+    path = tokenizer_file("word_bpe_49k.json")
+    monkeypatch.setattr(packing, "CACHE_BYTES", 60_000)
+    encoder, whole = packing.WordCacheEncoder(path), Tokenizer.from_file(path)
+    draw = random.Random(8)
+    bits = ["'s", "'re", "'ll", "'v", "'t", "'", "''", "a", "be", " ", "re", "l", "S", "!", "1", "22", "\xe9", "\n"]
+    for _ in range(40):
+        part = ["".join(draw.choices(bits, k=draw.randint(0, 12))) + " " + "".join(draw.choices("abcdefghij", k=9)) for _ in range(100)]
+        assert encoder.encode(part) == [
+            np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in part]
+        assert len(encoder.key) == len(encoder.check) == len(encoder.at) == len(encoder.size)
+        assert len(encoder.key) * packing._ENTRY + 4 * len(encoder.ids) < 100_000
+        assert (np.diff(encoder.key.astype(object)) > 0).all()
+
+
 def test_packing(docs, rows, empty):
     path = tokenizer_file("word_bpe_49k.json")
     out = packing.pack(docs, path).collect()
