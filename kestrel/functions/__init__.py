@@ -18,3 +18,10 @@ def fixed(col, digits: int = 2) -> Column:
 def fixed_sql(expr: str, digits: int = 2) -> str:
     s = 10 ** digits
     return f"(floor(({expr}) * {s} + 0.5) / {s})"
+
+
+def hashed_number(*cols: Column | str) -> Column:
+    """A number below 2**32 from the text of some columns (the head of their MD5),
+    the same in every engine: draws that SQL can repeat."""
+    text = F.concat_ws(":", *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")

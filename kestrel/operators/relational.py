@@ -4,9 +4,13 @@ only fix the conventions (explicit names, deterministic tie-breaks)."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import hashed_number
+
 
 def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """Rename by dictionary, keeping unmapped names."""
@@ -108,12 +112,52 @@ def hash_fraction(*cols, seed: int = 0) -> Column:
 def fixed_size_sample_per_group(df: DataFrame, group: Column, n: int, seed: int = 7,
                                 key_cols: list[str] | None = None) -> DataFrame:
     """N shuffled rows per group (e.g. per input file).  Order is a
-    seeded hash of the row, so the draw is repeatable; ``row_number`` per
-    group keeps the first n.  A window sort per group streams (spills) rather
-    than holding the group in memory."""
+    seeded hash of the row's key, so the draw is repeatable and SQL can repeat it.
+    The first n of hashed parts of a group meet in the end, so no task sorts a
+    whole group."""
     key_cols = key_cols or df.columns
-    w = Window.partitionBy(group).orderBy(hash_fraction(*key_cols, seed=seed), *key_cols)
-    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).drop("__rn")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df = df.withColumn("__draw", hashed_number(*key_cols, F.lit(seed)))
+    for part in (F.pmod(F.xxhash64(*key_cols), F.lit(parts)), F.lit(0)):
+        w = Window.partitionBy(group, part).orderBy("__draw", *key_cols)
+        df = df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n)
+    return df.drop("__rn", "__draw")
+
+
+def random_split_hashed(df: DataFrame, weights: list[float], key_cols: list[str], seed: int = 42) -> DataFrame:
+    """``df`` with ``split``, the number of the part that a row falls into, by a
+    hash of its key that SQL can repeat; the parts are disjoint and whole however
+    often, and in whatever partitioning, the rows are read."""
+    total, upto, expr = float(sum(weights)), 0.0, F.lit(len(weights) - 1)
+    bounds = []
+    for w in weights[:-1]:
+        upto += w / total
+        bounds.append(int(round(upto, 12) * 4294967296))
+    df = df.withColumn("__u", hashed_number(*key_cols, F.lit(seed)))
+    for i in reversed(range(len(bounds))):
+        expr = F.when(F.col("__u") < bounds[i], i).otherwise(expr)
+    return df.withColumn("split", expr).drop("__u")
+
+
+def poisson_bounds(mean: float) -> list[float]:
+    """Shares of the Poisson law up to 0, 1, 2, ... until what is left is below the
+    32 bits of a hashed draw."""
+    bounds, term, upto = [], math.exp(-mean), 0.0
+    while 1 - upto >= 2.0 ** -33 and len(bounds) < 10_000:
+        upto += term
+        bounds.append(upto)
+        term *= mean / len(bounds)
+    return bounds
+
+
+def poisson_copies(df: DataFrame, mean: float, key_cols: list[str], seed: int) -> DataFrame:
+    """sampling with replacement: every row as often as the Poisson law of
+    ``mean`` draws by a hash of its key (repeatable, unlike ``sample``)."""
+    u = hashed_number(*key_cols, F.lit(seed)) / 4294967296
+    copies = F.size(F.filter(F.array(*[F.lit(b) for b in poisson_bounds(mean)]), lambda b: b <= u))
+    names = df.columns
+    return (df.withColumn("__n", copies).where("__n > 0")
+              .select(*names, F.explode(F.expr("sequence(1, __n)")).alias("__i")).drop("__i"))
 
 
 def random_split_exact(df: DataFrame, weights: list[float], key_cols: list[str], seed: int = 42) -> DataFrame:

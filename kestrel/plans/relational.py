@@ -421,6 +421,34 @@ def _(spark, sf):
     return s.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("fixed_size_sample_rows", "A38", """
+SELECT o_orderpriority, o_orderkey FROM orders
+QUALIFY row_number() OVER (PARTITION BY o_orderpriority
+    ORDER BY ('0x' || substr(md5(o_orderkey || ':7'), 1, 8))::BIGINT, o_orderkey) <= 50
+""")
+def _(spark, sf):
+    o = T(spark, sf).orders.select("o_orderkey", "o_orderpriority")
+    return R.fixed_size_sample_per_group(o, F.col("o_orderpriority"), 50, key_cols=["o_orderkey"])
+
+
+@query("random_split_rows", "F10", """
+SELECT o_orderkey, CASE WHEN ('0x' || substr(md5(o_orderkey || ':42'), 1, 8))::BIGINT < floor(0.7 * 4294967296) THEN 0
+    WHEN ('0x' || substr(md5(o_orderkey || ':42'), 1, 8))::BIGINT < floor(0.9 * 4294967296) THEN 1 ELSE 2 END AS split FROM orders
+""")
+def _(spark, sf):
+    return R.random_split_hashed(T(spark, sf).orders.select("o_orderkey"), [0.7, 0.2, 0.1], ["o_orderkey"])
+
+
+@query("sample_with_replacement_rows", "F9", f"""
+WITH d AS (SELECT o_orderkey, ('0x' || substr(md5(o_orderkey || ':11'), 1, 8))::BIGINT / 4294967296 AS u FROM orders),
+c AS (SELECT o_orderkey, len(list_filter([{", ".join(f"{b!r}::DOUBLE" for b in R.poisson_bounds(0.5))}], lambda b: b <= u)) AS n FROM d)
+SELECT o_orderkey, n::INTEGER AS copies FROM c WHERE n > 0
+""", note="copies of a row by the Poisson law of mean 0.5")
+def _(spark, sf):
+    s = R.poisson_copies(T(spark, sf).orders.select("o_orderkey"), 0.5, ["o_orderkey"], 11)
+    return s.groupBy("o_orderkey").agg(F.count(F.lit(1)).cast("int").alias("copies"))
+
+
 @query("coalesce_and_partition_sizes", "F12,F13,F14", """
 SELECT count(*) AS total_rows FROM lineitem
 """)
