@@ -93,6 +93,60 @@ def cost_sweep(df: DataFrame, features: str, text_col: str, ks: list[int], seed:
     return df.sparkSession.createDataFrame(rows, "variant string, k int, cost double")
 
 
+def unit_deviation(df: DataFrame, features: str, out: str) -> DataFrame:
+    """M5: every slot of a vector divided by its standard deviation, not centred,
+    as an array."""
+    model = StandardScaler(inputCol=features, outputCol="__scaled", withMean=False, withStd=True).fit(df)
+    return model.transform(df).withColumn(out, vector_to_array("__scaled")).drop("__scaled")
+
+
+def encoded_strings(df: DataFrame, cols: list[str]) -> DataFrame:
+    """M2/M3: per string column its index (by frequency, then by name) and its
+    one-hot slots (without one for the last index), as ``<col>_index``, ``<col>_slots``."""
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+    index = StringIndexer(inputCols=cols, outputCols=[f"{c}_index" for c in cols])
+    hot = OneHotEncoder(inputCols=[f"{c}_index" for c in cols], outputCols=[f"__hot_{c}" for c in cols])
+    out = Pipeline(stages=[index, hot]).fit(df).transform(df)
+    return out.withColumns({f"{c}_slots": vector_to_array(f"__hot_{c}") for c in cols}).drop(*[f"__hot_{c}" for c in cols])
+
+
+def category_slots(df: DataFrame, numeric: list[str], max_categories: int) -> DataFrame:
+    """M1/M4: the columns as a vector whose slots with few values hold the number of
+    the value instead; as an array ``slots``."""
+    from pyspark.ml.feature import VectorIndexer
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=numeric, outputCol="__raw"),
+                            VectorIndexer(inputCol="__raw", outputCol="__slots", maxCategories=max_categories)])
+    return pipe.fit(df).transform(df).withColumn("slots", vector_to_array("__slots")).drop("__raw", "__slots")
+
+
+def least_squares(df: DataFrame, features: list[str], label: str) -> DataFrame:
+    """Coefficients of the plain linear regression, solved exactly: (name, value)."""
+    from pyspark.ml.regression import LinearRegression
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="__f"),
+                            LinearRegression(featuresCol="__f", labelCol=label, solver="normal", regParam=0.0)])
+    line = pipe.fit(df).stages[-1]
+    rows = [(n, float(x)) for n, x in zip([*features, "intercept"], [*line.coefficients, line.intercept])]
+    return df.sparkSession.createDataFrame(rows, "name string, value double")
+
+
+def regression_scores(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """(metric, value) of given predictions."""
+    ev = RegressionEvaluator(labelCol=label, predictionCol=prediction)
+    rows = [(m, float(ev.setMetricName(m).evaluate(df))) for m in ("rmse", "mae", "r2")]
+    return df.sparkSession.createDataFrame(rows, "metric string, value double")
+
+
+def classification_scores(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """(metric, value) of given predictions: accuracy, F1, and the cells of
+    the confusion matrix."""
+    ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol=prediction)
+    rows = [(m, float(ev.setMetricName(m).evaluate(df))) for m in ("accuracy", "f1")]
+    cells = df.groupBy(label, prediction).count().select(
+        F.concat(F.lit("cell "), F.col(label).cast("int"), F.lit(" as "), F.col(prediction).cast("int")).alias("metric"),
+        F.col("count").cast("double").alias("value"))
+    return df.sparkSession.createDataFrame(rows, "metric string, value double").unionByName(cells)
+
+
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
     """Class proportions divided by the computed total."""
     c = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))

@@ -276,7 +276,7 @@ def _(spark, sf):
     return e.select(F.round("weighted_entropy", 8).alias("weighted_entropy"))
 
 
-@query("pandas_grouped_aggregate", "D39,K7,L29", """
+@query("pandas_grouped_aggregate", "D39,L29", """
 SELECT o_orderstatus, round(avg(o_totalprice), 4) AS mean_price, round(sum(o_totalprice), 2) AS sum_price
 FROM orders GROUP BY o_orderstatus
 """)

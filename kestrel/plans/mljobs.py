@@ -192,3 +192,78 @@ def _(spark, sf):
     li = Tables(spark, sf).lineitem
     return ML.cross_validated_regression(li, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice",
                                          ["l_orderkey", "l_linenumber"])
+
+
+@query("ml_unit_deviation", "M1,M5,M6", """
+WITH e AS (SELECT vec_id, embedding[1]::DOUBLE AS a, embedding[len(embedding)]::DOUBLE AS z FROM embeddings)
+SELECT vec_id, floor(a / stddev_samp(a) OVER () * 1e6 + 0.5) / 1e6 AS first_slot,
+       floor(z / stddev_samp(z) OVER () * 1e6 + 0.5) / 1e6 AS last_slot FROM e
+""")
+def _(spark, sf):
+    s = ML.unit_deviation(vectors(spark, sf), "features", "s")
+    return s.select("vec_id", fixed(F.element_at("s", 1), 6).alias("first_slot"), fixed(F.element_at("s", -1), 6).alias("last_slot"))
+
+
+@query("ml_encoded_strings", "M2,M3,M6", """
+WITH s AS (SELECT c_mktsegment AS v, row_number() OVER (ORDER BY count(*) DESC, c_mktsegment) - 1 AS i FROM customer GROUP BY 1),
+f AS (SELECT c_nationkey AS v, row_number() OVER (ORDER BY count(*) DESC, CAST(c_nationkey AS VARCHAR)) - 1 AS i FROM customer GROUP BY 1)
+SELECT c_custkey, s.i AS segment_index, f.i AS nation_index,
+       array_to_string(list_transform(range((SELECT count(*) - 1 FROM s)), lambda k: (k = s.i)::INT), '') AS segment_slots,
+       array_to_string(list_transform(range((SELECT count(*) - 1 FROM f)), lambda k: (k = f.i)::INT), '') AS nation_slots
+FROM customer JOIN s ON s.v = c_mktsegment JOIN f ON f.v = c_nationkey
+""")
+def _(spark, sf):
+    c = Tables(spark, sf).customer.select("c_custkey", F.col("c_mktsegment").alias("segment"),
+                                          F.col("c_nationkey").cast("string").alias("nation"))
+    e = ML.encoded_strings(c, ["segment", "nation"])
+    bits = {f"{n}_slots": F.array_join(F.transform(f"{n}_slots", lambda x: x.cast("int").cast("string")), "") for n in ("segment", "nation")}
+    return e.withColumns(bits).select("c_custkey", F.col("segment_index").cast("bigint").alias("segment_index"),
+                                      F.col("nation_index").cast("bigint").alias("nation_index"), "segment_slots", "nation_slots")
+
+
+@query("ml_category_slots", "M1,M4", """
+SELECT l_orderkey, l_linenumber, dense_rank() OVER (ORDER BY l_linenumber) - 1 AS line_slot, l_extendedprice AS price_slot FROM lineitem
+""")
+def _(spark, sf):
+    li = Tables(spark, sf).lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice")
+    s = ML.category_slots(li, ["l_linenumber", "l_extendedprice"], 20)
+    return s.select("l_orderkey", "l_linenumber", F.get("slots", 0).cast("bigint").alias("line_slot"), F.get("slots", 1).alias("price_slot"))
+
+
+@query("ml_least_squares", "M12", """
+SELECT 'l_quantity' AS name, floor(regr_slope(l_extendedprice, l_quantity) * 1000 + 0.5) / 1000 AS value FROM lineitem
+UNION ALL SELECT 'intercept', floor(regr_intercept(l_extendedprice, l_quantity) * 1000 + 0.5) / 1000 FROM lineitem
+""")
+def _(spark, sf):
+    li = Tables(spark, sf).lineitem
+    return ML.least_squares(li, ["l_quantity"], "l_extendedprice").select("name", fixed("value", 3).alias("value"))
+
+
+@query("ml_regression_scores", "M13", """
+WITH p AS (SELECT l_extendedprice AS y, l_quantity * 1000 + 500 AS p FROM lineitem),
+m AS (SELECT avg(y) AS m FROM p)
+SELECT 'rmse' AS metric, floor(sqrt(avg((y - p) * (y - p))) * 1000 + 0.5) / 1000 AS value FROM p
+UNION ALL SELECT 'mae', floor(avg(abs(y - p)) * 1000 + 0.5) / 1000 FROM p
+UNION ALL SELECT 'r2', floor((1 - sum((y - p) * (y - p)) / sum((y - m) * (y - m))) * 1000 + 0.5) / 1000 FROM p, m
+""")
+def _(spark, sf):
+    li = Tables(spark, sf).lineitem.select(F.col("l_extendedprice").alias("y"), (F.col("l_quantity") * 1000 + 500).alias("p"))
+    return ML.regression_scores(li, "y", "p").select("metric", fixed("value", 3).alias("value"))
+
+
+@query("ml_classification_scores", "M17,M18", """
+WITH t AS (SELECT CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS y,
+                  CASE WHEN l_linestatus = 'O' THEN 1 WHEN l_quantity < 25 THEN 0 ELSE 2 END AS p FROM lineitem),
+c AS (SELECT y, count(*) AS n, count(*) FILTER (WHERE y = p) AS hit FROM t GROUP BY y),
+q AS (SELECT p, count(*) AS n FROM t GROUP BY p),
+f AS (SELECT c.n, c.hit / c.n AS recall, c.hit / q.n AS precision FROM c JOIN q ON c.y = q.p)
+SELECT 'accuracy' AS metric, floor(avg((y = p)::INT) * 1e6 + 0.5) / 1e6 AS value FROM t
+UNION ALL SELECT 'f1', floor(sum(n * 2 * precision * recall / (precision + recall)) / (SELECT count(*) FROM t) * 1e6 + 0.5) / 1e6 FROM f
+UNION ALL SELECT 'cell ' || y || ' as ' || p, count(*) FROM t GROUP BY y, p
+""")
+def _(spark, sf):
+    flag, line = F.col("l_returnflag"), F.col("l_linestatus")
+    t = Tables(spark, sf).lineitem.select(
+        F.when(flag == "A", 0.0).when(flag == "N", 1.0).otherwise(2.0).alias("y"),
+        F.when(line == "O", 1.0).when(F.col("l_quantity") < 25, 0.0).otherwise(2.0).alias("p"))
+    return ML.classification_scores(t, "y", "p").select("metric", fixed("value", 6).alias("value"))

@@ -3,6 +3,7 @@ the SQL form of its native twin."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -62,6 +63,19 @@ def _(spark, sf):
         "o_orderkey", "o_custkey", (F.floor(F.col("o_totalprice") * 1e4 + 0.3) / 1e4).alias("centred"))
 
 
+@query("pandas_series_to_scalar_per_customer", "K7", """
+SELECT o_orderkey, o_custkey, floor(avg(o_totalprice) OVER w * 100 + 0.37) / 100 AS mean_price, count(*) OVER w AS n
+FROM orders WINDOW w AS (PARTITION BY o_custkey)
+""", note="grouped and over a window; a customer's orders are a bounded group")
+def _(spark, sf):
+    o = Tables(spark, sf).orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    over = o.withColumn("m", U.mean_udf("o_totalprice").over(Window.partitionBy("o_custkey")))
+    sums = o.groupBy("o_custkey").agg(U.mean_udf("o_totalprice").alias("g"), U.sum_udf("o_totalprice").alias("s"))
+    return over.join(sums, "o_custkey").select(
+        "o_orderkey", "o_custkey", (F.floor(F.col("m") * 100 + 0.37) / 100).alias("mean_price"),
+        F.round(F.col("s") / F.col("g")).cast("bigint").alias("n"))
+
+
 @query("shipped_helper_module", "K11,K3", """
 SELECT c_custkey, CAST(coalesce(list_sum(list_transform(regexp_extract_all(c_name, '[0-9]'), lambda d: CAST(d AS INTEGER))), 0) AS BIGINT) AS digits
 FROM customer

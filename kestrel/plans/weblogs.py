@@ -149,7 +149,7 @@ def _(spark, sf):
               .orderBy(F.desc("count"), "day").limit(5))
 
 
-@query("log_size_by_host_pandas", "L19,D39,K7", _LOGS + """
+@query("log_size_by_host_pandas", "L19,D39", _LOGS + """
 SELECT host, round(sum(content_size), 2) AS total_size FROM logs GROUP BY host
 """)
 def _(spark, sf):
