@@ -22,10 +22,19 @@ def _scrambled(x: np.ndarray) -> np.ndarray:
 _BYTE = _scrambled(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 
 
+_POWERS = {base: np.ones(1, np.uint64) for base in (_BASE, pow(_BASE, -1, 1 << 64))}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers; those of a block's length stay."""
+    if len(_POWERS[base]) >= n:
+        return _POWERS[base][:n]
     x = np.full(n, base, np.uint64)
     x[0] = 1
-    return np.multiply.accumulate(x)
+    x = np.multiply.accumulate(x)
+    if n <= _BLOCK + 1:
+        _POWERS[base] = x
+    return x
 
 
 def window_minima(buf: np.ndarray, offset: np.ndarray, size: int, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -39,9 +48,11 @@ def window_minima(buf: np.ndarray, offset: np.ndarray, size: int, window: int) -
     up, down = _powers(_BASE, len(buf) + 1), _powers(pow(_BASE, -1, 1 << 64), len(buf) + 1)
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[buf] * up[:-1])))
     key = _scrambled((total[size:] - total[:-size]) * down[:len(buf) - size + 1])
-    least = key[:n].copy()
-    for k in range(1, window):
-        np.minimum(least, key[k:n + k], out=least)
+    least, width = key, 1                        # minima of 1, 2, 4, ... grams, then of two that overlap
+    while 2 * width <= window:
+        least = np.minimum(least[:-width], least[width:])
+        width *= 2
+    least = np.minimum(least[:n], least[window - width:][:n])
     row = np.repeat(np.arange(len(offset) - 1), np.diff(offset))
     ok = np.flatnonzero(np.arange(n) + span <= offset[1:][row[:n]])
     row, least = row[ok], least[ok]

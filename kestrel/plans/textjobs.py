@@ -9,14 +9,15 @@ from ..functions import fixed
 from ..functions.text import simple_tokenize, sql_tokens
 from ..jobs import entity as E
 from ..session import written
-from ..sources.tables import Tables
+from ..sources.tables import Tables, spread
 from .registry import query
 
 _WORDS = f"WITH w AS (SELECT unnest({sql_tokens('text', drop_stop=False)}) AS word FROM documents)\n"
 
 
 def words(spark, sf):
-    return Tables(spark, sf).documents.select(F.explode(simple_tokenize("text")).alias("word"))
+    texts = spread(Tables(spark, sf).documents.select("text"))
+    return texts.select(F.explode(simple_tokenize("text")).alias("word"))
 
 
 @query("word_count_documents", "L26,H3,H10,D10", _WORDS + """
@@ -81,7 +82,7 @@ gold AS (SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contain
 
 def corpus(spark, sf):
     t = Tables(spark, sf)
-    docs = E.record_tokens(t.documents, "doc_id", "text", source="doc")
+    docs = E.record_tokens(spread(t.documents.select("doc_id", "text")), "doc_id", "text", source="doc")
     items = E.record_tokens(t.benchmark, "item_id", "text", source="item")
     return docs.unionByName(items)
 
@@ -110,7 +111,8 @@ def similarities(sides):
 
 def gold(spark, sf):
     t = Tables(spark, sf)
-    return E.containment_pairs(t.documents, "doc_id", "text", t.benchmark, "item_id", "text")
+    docs = spread(t.documents.select("doc_id", "text"))
+    return E.containment_pairs(docs, "doc_id", "text", t.benchmark, "item_id", "text")
 
 
 @query("er_token_counts", "L30,H10,H11,H13", _REC + """

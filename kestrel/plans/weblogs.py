@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import udfs as U
 from ..jobs import weblogs as L
 from ..session import scratch_path
-from ..sources.tables import Tables
+from ..sources.tables import Tables, spread
 from .registry import query
 
 _LOGS = """
@@ -24,7 +24,7 @@ WITH logs AS (
 
 
 def parsed(spark, sf):
-    return L.parse_logs(L.events_as_log_lines(Tables(spark, sf).events))
+    return L.parse_logs(L.events_as_log_lines(spread(Tables(spark, sf).events)))
 
 
 def logs(spark, sf):

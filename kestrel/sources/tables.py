@@ -25,6 +25,14 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan that has fewer splits than the session has cores, dealt anew to all of
+    them, for work that costs far more than moving the rows (splitting texts,
+    matching patterns).  A table of many files or row groups is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Register each table as a temp view of the same name (for SQL forms)."""
     for n in names:
