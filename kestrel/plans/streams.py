@@ -192,18 +192,19 @@ def _(spark, sf):
 
 
 @query("stream_symbol_update_rekeyed", "I8,I15,A35", """
-SELECT CAST(user_id AS VARCHAR) AS key, user_id || ',' || count(*) || ',' || CAST(floor(sum(value)) AS BIGINT) || ','
-       || CAST(floor(min(value)) AS BIGINT) || ',' || CAST(floor(max(value)) AS BIGINT) AS value
+SELECT CAST(user_id AS VARCHAR) AS key, user_id || ',' || count(*) || ',' || CAST(floor(sum(value) * 100 + 0.5) AS BIGINT) || ','
+       || CAST(floor(min(value) * 100 + 0.5) AS BIGINT) || ',' || CAST(floor(max(value) * 100 + 0.5) AS BIGINT) AS value
 FROM events GROUP BY user_id
 """)
 def _(spark, sf):
-    """Totals per symbol in update mode over several batches, as key and CSV text."""
+    """Totals per symbol in update mode over several batches, as key and CSV text
+    (amounts in hundredths)."""
     e = Tables(spark, sf).events
     src = scratch_path(spark, "symbol-src")
     e.repartition(3, "event_id").write.parquet(src)
     stream = S.file_stream(spark, src, e.schema, max_files_per_trigger=1).withColumn("qty", F.lit(1))
     out = rewritten(S.symbol_aggregates(stream, "user_id", "value", "qty", "value"), S.SYMBOL_STATE, "update")
-    whole = {c: F.floor(c) for c in ("total_value", "min_price", "max_price")}
+    whole = {c: F.floor(F.col(c) * 100 + 0.5) for c in ("total_value", "min_price", "max_price")}
     return S.as_key_value(out.withColumns(whole), "user_id", ["user_id", "total_qty", "total_value", "min_price", "max_price"])
 
 
