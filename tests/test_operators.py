@@ -221,3 +221,33 @@ def test_mergeable_pandas_sums(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("a", None), (None, 2.0), ("n", None)] * 50, "k string, v double").repartition(6)
     got = {r.k: (r.total, r.n, r["mean"]) for r in udfs.mergeable_sums(df, ["k"], "v").collect()}
     assert got == {"a": (200.0, 100, 2.0), None: (100.0, 50, 2.0), "n": (0.0, 0, None)}
+
+
+def test_plan_text_is_a_table(spark, tmp_path):
+    spark.range(100).selectExpr("id", "id * 1.0D AS v", "'x' AS other").write.parquet(str(tmp_path / "t"))
+    plan = R.plan_text(spark.read.parquet(str(tmp_path / "t")).where("v > 49").select("id", "v")).first().plan
+    assert "GreaterThan(v,49.0)" in plan and "ReadSchema: struct<id:bigint,v:double>" in plan
+
+
+def test_plan_pushdown_reports_its_plan(spark):
+    from conftest import SF_SMALL
+
+    from __spark_entry__ import oracle_sql, queries
+    got = queries()["plan_pushdown_and_cache"](spark, SF_SMALL)
+    assert got.columns == ["pushed_filters", "pruned_schema", "rows"]
+    r = got.first()
+    assert r.pushed_filters and r.pruned_schema and r.rows > 0
+    assert "pushed_filters" in oracle_sql()["plan_pushdown_and_cache"]
+
+
+def test_grouped_map_shares_calls(spark):
+    from kestrel.functions import udfs
+    rows = [(k if k else None, float(k * 7 % 11 + i)) for k in range(300) for i in range(3)] + [(None, None), (5, None)]
+    df = spark.createDataFrame(rows, "k long, v double")
+    out = udfs.subtract_mean_grouped(df, "k", "v")
+    assert out.schema == df.schema and "__call" in R.plan_text(out).first().plan        # not a call per key
+    key = lambda r: (r.k is None, r.k, r.v is None, r.v)
+    want = sorted(udfs.subtract_mean_native(df, "k", "v").collect(), key=key)
+    got = sorted(out.collect(), key=key)
+    assert [r.k for r in got] == [r.k for r in want]
+    assert all((a.v is None) == (b.v is None) and (a.v is None or abs(a.v - b.v) < 1e-9) for a, b in zip(got, want))
