@@ -78,6 +78,9 @@ all_sims AS (
 sims AS (SELECT * FROM all_sims WHERE floor(sim * 1000000 + 0.5) / 1000000 >= 0.1),
 gold AS (SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text))
 """
+# the same with every pair of a common token in ``sims``
+_SIMS = _REC.replace(
+    "sims AS (SELECT * FROM all_sims WHERE floor(sim * 1000000 + 0.5) / 1000000 >= 0.1),\n", "").replace("all_sims", "sims")
 
 
 def corpus(spark, sf):
@@ -87,26 +90,15 @@ def corpus(spark, sf):
     return docs.unionByName(items)
 
 
-MIN_SIM = 0.1        # similarity joins list the pairs from here on; sweeps begin here
-
-
 def weights(spark, sf):
     rec = corpus(spark, sf)
     keys = ("source", "id")
     return E.tfidf(E.term_frequency(rec, keys), E.inverse_document_frequency(rec, keys))
 
 
-def sides(spark, sf):
-    """The unit weights of documents and of items, from one pass over the texts."""
-    w = E.unit_weights(corpus(spark, sf), ("source", "id"))
-    return w.where("source = 'doc'").drop("source"), w.where("source = 'item'").drop("source")
-
-
-def similarities(sides):
-    """Pairs of at least ``MIN_SIM``, compared after rounding to six digits so
-    that both engines draw the line at the same place."""
-    near = E.similarity_join(*sides, MIN_SIM - 1e-6, "doc_id", "item_id")
-    return near.where(fixed("sim", 6) >= MIN_SIM)
+def similarities(spark, sf):
+    """Every pair of a document and an item that share a token."""
+    return E.all_similarities(corpus(spark, sf), "doc", "item", "doc_id", "item_id")
 
 
 def gold(spark, sf):
@@ -172,11 +164,11 @@ def _(spark, sf):
     return w.select(F.col("id").alias("item_id"), "token", fixed("weight", 6).alias("weight"))
 
 
-@query("er_cosine_similarity_pairs", "L33,L34,C19,H27", _REC + """
+@query("er_cosine_similarity_pairs", "L33,L34,C19,H27", _SIMS + """
 SELECT doc_id, item_id, floor(sim * 1000000 + 0.5) / 1000000 AS sim FROM sims
 """)
 def _(spark, sf):
-    return similarities(sides(spark, sf)).select("doc_id", "item_id", fixed("sim", 6).alias("sim"))
+    return similarities(spark, sf).select("doc_id", "item_id", fixed("sim", 6).alias("sim"))
 
 
 @query("er_gold_containment_pairs", "L35,C9", _REC + """
@@ -200,27 +192,27 @@ def _(spark, sf):
     return E.containment_pairs(t.documents, "doc_id", "text", items, "item_id", "part")
 
 
-@query("er_gold_evaluation", "L35,C5,C9", _REC + """
+@query("er_gold_evaluation", "L35,C5,C9", _SIMS + """
 SELECT (SELECT count(*) FROM gold) AS n_true_dups,
        (SELECT floor(avg(COALESCE(s.sim, 0)) * 1000000 + 0.5) / 1000000 FROM gold g
-          LEFT JOIN all_sims s ON g.doc_id = s.doc_id AND g.item_id = s.item_id) AS avg_sim_dups,
+          LEFT JOIN sims s ON g.doc_id = s.doc_id AND g.item_id = s.item_id) AS avg_sim_dups,
        (SELECT floor(avg(s.sim) * 1000000 + 0.5) / 1000000 FROM sims s
           WHERE NOT EXISTS (SELECT 1 FROM gold g WHERE g.doc_id = s.doc_id AND g.item_id = s.item_id)) AS avg_sim_non_dups,
        (SELECT floor(sum(sim) / (SELECT count(*) FROM documents) / (SELECT count(*) FROM benchmark) * 1e9 + 0.5) / 1e9
-          FROM all_sims) AS avg_sim_all_pairs
-""", note="other pairs from MIN_SIM on; the mean over all pairs is exact and forms no pair")
+          FROM sims) AS avg_sim_all_pairs
+""")
 def _(spark, sf):
     t, g = Tables(spark, sf), written(gold(spark, sf), "gold-pairs")
-    wa, wb = sides(spark, sf)
-    ev = E.gold_evaluation(similarities((wa, wb)), g, E.pair_similarities(g.distinct(), wa, wb, "doc_id", "item_id"))
+    sims = written(similarities(spark, sf), "similarities")
+    ev = E.gold_evaluation(sims, g, sims.join(g, ["doc_id", "item_id"], "left_semi"))
     n = t.documents.agg(F.count(F.lit(1)).alias("n_a")).crossJoin(t.benchmark.agg(F.count(F.lit(1)).alias("n_b")))
-    total = E.total_similarity(wa, wb).crossJoin(F.broadcast(n))
+    total = sims.agg(F.coalesce(F.sum("sim"), F.lit(0.0)).alias("total_sim")).crossJoin(F.broadcast(n))
     return ev.crossJoin(F.broadcast(total)).select(
         "n_true_dups", fixed("avg_sim_dups", 6).alias("avg_sim_dups"), fixed("avg_sim_non_dups", 6).alias("avg_sim_non_dups"),
         fixed(F.col("total_sim") / F.col("n_a") / F.col("n_b"), 9).alias("avg_sim_all_pairs"))
 
 
-@query("er_threshold_sweep", "L36,D40,E1", _REC + """,
+@query("er_threshold_sweep", "L36,D40,E1", _SIMS + """,
 gs AS (SELECT least(floor(COALESCE(s.sim, 0) * 100), 100) AS bin FROM gold g
        LEFT JOIN sims s ON g.doc_id = s.doc_id AND g.item_id = s.item_id),
 fs AS (SELECT least(floor(sim * 100), 100) AS bin FROM sims s
@@ -229,7 +221,7 @@ t AS (SELECT i / 100 AS threshold, i,
              (SELECT count(*) FROM fs WHERE bin >= i) AS false_pos,
              (SELECT count(*) FROM gs WHERE bin < i) AS false_neg,
              (SELECT count(*) FROM gs) - (SELECT count(*) FROM gs WHERE bin < i) AS true_pos
-      FROM range(10, 100) r(i))
+      FROM range(0, 100) r(i))
 SELECT threshold, false_pos, false_neg, true_pos,
        floor(true_pos / NULLIF(true_pos + false_pos, 0) * 1e9 + 0.5) / 1e9 AS precision,
        floor(true_pos / NULLIF(true_pos + false_neg, 0) * 1e9 + 0.5) / 1e9 AS recall,
@@ -239,7 +231,7 @@ SELECT threshold, false_pos, false_neg, true_pos,
 FROM t
 """)
 def _(spark, sf):
-    s = E.threshold_sweep(similarities(sides(spark, sf)), gold(spark, sf), first=round(100 * MIN_SIM))
+    s = E.threshold_sweep(similarities(spark, sf), written(gold(spark, sf), "gold-pairs"))
     return s.select("threshold", "false_pos", "false_neg", "true_pos",
                     fixed("precision", 9).alias("precision"), fixed("recall", 9).alias("recall"),
                     fixed("fmeasure", 9).alias("fmeasure"))
