@@ -289,7 +289,9 @@ def forest_report(df: DataFrame, numeric: list[str], label: str, keys: list[str]
         VectorAssembler(inputCols=[f"__full_{c}" for c in numeric], outputCol="__raw"),
         VectorIndexer(inputCol="__raw", outputCol="__features", maxCategories=max_categories,
                       handleInvalid="keep")]).fit(train)
-    train, test = (prepare.transform(x).select("__label", "__features") for x in (train, test))
+    # the fits below read the rows again and again: prepared once
+    train, test = (written(prepare.transform(x).select("__label", "__features"), f"forest-{n}")
+                   for n, x in (("train", train), ("test", test)))
     forest = RandomForestClassifier(featuresCol="__features", labelCol="__label", seed=seed)
     grid = ParamGridBuilder().addGrid(forest.numTrees, [4, 8]).addGrid(forest.maxDepth, [3, 5]).build()
     accuracy = MulticlassClassificationEvaluator(labelCol="__label", metricName="accuracy")
@@ -303,10 +305,12 @@ def forest_report(df: DataFrame, numeric: list[str], label: str, keys: list[str]
     rows += [("validation", ", ".join(f"{p.name}={v}" for p, v in sorted(point.items(), key=lambda x: x[0].name)), float(m))
              for point, m in zip(grid, tuned.validationMetrics)]
     for name, model in (("forest", best), ("tree", tree)):
-        scored = model.transform(test)
+        scored = written(model.transform(test).select("__label", "prediction"), f"scored-{name}")
+        if name == "forest":
+            confusion = scored
         rows += [("accuracy", name, float(accuracy.evaluate(scored))), ("f1", name, float(f1.evaluate(scored)))]
         rows += [("importance", f"{name} {c}", float(x)) for c, x in zip(numeric, model.featureImportances.toArray())]
-    cells = best.transform(test).groupBy("__label", "prediction").count().select(
+    cells = confusion.groupBy("__label", "prediction").count().select(
         F.lit("confusion").alias("part"), F.concat_ws(" as ", "__label", "prediction").alias("name"),
         F.col("count").cast("double").alias("value"))
     return df.sparkSession.createDataFrame(rows, "part string, name string, value double").unionByName(cells)
@@ -327,6 +331,9 @@ def cross_validated_regression(df: DataFrame, numeric: list[str], label: str, ke
     grid = ParamGridBuilder().addGrid(line.regParam, [0.01, 1.0]).addGrid(line.elasticNetParam, [0.0, 0.5]).build()
     rmse = RegressionEvaluator(labelCol=label, metricName="rmse")
     pipe = Pipeline(stages=[*fill, VectorAssembler(inputCols=[f"__full_{c}" for c in numeric], outputCol="__features"), line])
+    # every fold and point reads the rows again: only the columns used, once hashed
+    train, test = (written(x, f"regression-{n}") for n, x in (("train", train.select(*numeric, label, "__fold")),
+                                                              ("test", test.select(*numeric, label))))
     chosen = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=rmse, numFolds=folds,
                             foldCol="__fold").fit(train)
     best, scored = chosen.bestModel.stages[-1], chosen.transform(test)

@@ -36,3 +36,16 @@ def test_cross_validated_regression_finds_the_line(spark):
     assert value["held out", "r2"] > 0.999
     assert abs(value["coefficient", "l_quantity"] - 3) < 0.05
     assert len([k for k in value if k[0] == "fold mean rmse"]) == 4
+
+
+def test_reports_read_prepared_rows(spark, monkeypatch):
+    """The fits read rows that were prepared and pruned once; slots stay categorical."""
+    kept = {}
+    monkeypatch.setattr(ML, "written", lambda df, name, w=ML.written: kept.setdefault(name, w(df, name)))
+    df = spark.range(400).selectExpr("id", "CAST(id % 3 AS INT) AS slot", "id * 1.0D AS size", "CAST(id % 2 AS STRING) AS label",
+                                     "id * 2.0D AS y", "'unused' AS other")
+    ML.forest_report(df, ["slot", "size"], "label", ["id"])
+    assert {"forest-train", "forest-test"} <= set(kept) and kept["forest-train"].columns == ["__label", "__features"]
+    assert "nominal" in str(kept["forest-train"].schema["__features"].metadata)
+    ML.cross_validated_regression(df, ["size"], "y", ["id"])
+    assert kept["regression-train"].columns == ["size", "y", "__fold"]
