@@ -96,6 +96,28 @@ def test_top_items_and_users_of_a_subset(spark):
     assert len(rows) == 2 and all(r.user % 2 == 0 for r in rows)
 
 
+def test_top_products_go_by_pairs_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(REC, "ASKED_BLOCK", 4)
+    monkeypatch.setattr(REC, "OFFERED_BLOCK", 50)
+    rand = random.Random(6)
+    vectors = {i: [float(rand.randrange(-9, 10)) for _ in range(3)] for i in range(400)}
+    vectors[399] = vectors[7]                                # equal vectors: the larger id first
+    df = spark.createDataFrame([(i, v) for i, v in vectors.items()], "id int, features array<float>")
+    got = REC.best_products(df.where("id % 20 = 0"), df, 5)
+    pairs = REC._in_blocks(df.where("id % 20 = 0"), 4, "a").hint("shuffle_replicate_nl").crossJoin(REC._in_blocks(df, 50, "o"))
+    assert pairs.rdd.getNumPartitions() == 5 * 8             # a task per pair of blocks, however many there are
+    by: dict = {}
+    for r in got.collect():
+        by.setdefault(r.id, []).append((r["rank"], r.score, r.other))
+    assert set(by) == set(range(0, 400, 20))
+    for u, rows in by.items():
+        dot = {i: sum(a * b for a, b in zip(vectors[u], v)) for i, v in vectors.items()}
+        assert [s for _, s, _ in sorted(rows)] == sorted(dot.values(), reverse=True)[:5] and sorted(r for r, _, _ in rows) == [1, 2, 3, 4, 5]
+        found = [o for _, _, o in rows]
+        assert all(dot[o] == s for _, s, o in rows) and (7 not in found or 399 in found)
+    assert REC.best_products(df.where("id < 0"), df, 5).count() == REC.best_products(df, df.where("id < 0"), 5).count() == 0
+
+
 def test_foreach_counters_and_width(spark):
     df = spark.range(1000).repartition(6)
     assert R.foreach_counted(df, lambda r: r.id % 10 == 0) == (1000, 100)
