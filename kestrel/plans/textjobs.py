@@ -189,7 +189,8 @@ def _(spark, sf):
     """Parts of 1 to 45 characters, cut anywhere, so that they begin and end inside words."""
     t = Tables(spark, sf)
     items = t.benchmark.select("item_id", F.expr("substr(text, 1 + item_id % 7, 1 + item_id % 45)").alias("part"))
-    return E.containment_pairs(t.documents, "doc_id", "text", items, "item_id", "part")
+    docs = spread(t.documents.select("doc_id", "text"))
+    return E.containment_pairs(docs, "doc_id", "text", items, "item_id", "part")
 
 
 @query("er_gold_evaluation", "L35,C5,C9", _SIMS + """
