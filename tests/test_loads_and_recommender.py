@@ -3,6 +3,7 @@
 import contextlib
 import io
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -84,6 +85,30 @@ def test_auc_by_group_and_sweep(spark):
     assert all(0.8 < r.mean_auc <= 1 and r.users == 12 for r in out)
 
 
+def test_auc_sweep_reads_the_held_out_rows_once(spark, tmp_path):
+    from kestrel.ml.jobs import als_implicit
+    rand = random.Random(8)
+    plays = [(u, i, rand.randrange(1, 9)) for u in range(15) for i in range(20) if rand.random() < 0.5]
+    train = spark.createDataFrame([p for p in plays if p[1] != 19 and p[0] != 14], "user int, item int, plays int").coalesce(1)
+    test = spark.createDataFrame(plays[::3], "user int, item int, plays int")          # with a user and an item unknown in training
+    neg = spark.createDataFrame([(u, i) for u in range(15) for i in range(20) if (u + i) % 3 == 0] * 2, "user int, item int")
+    neg.write.parquet(str(tmp_path / "neg"))
+    neg = spark.read.parquet(str(tmp_path / "neg"))
+    grid = [{"rank": 2, "reg": 0.01, "alpha": 1.0}, {"rank": 3, "reg": 0.1, "alpha": 40.0}, {"rank": 2, "reg": 1.0, "alpha": 40.0}]
+    out = REC.auc_sweep(train, test, neg, "user", "item", "plays", grid)
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        out.explain("formatted")
+    assert len(re.findall(r"^\(\d+\) Scan parquet", text.getvalue(), re.M)) == 1
+    got = {(r["rank"], r.reg, r.alpha): (r.mean_auc, r.users) for r in out.collect()}
+    for p in grid:
+        model = als_implicit(train, "user", "item", "plays", rank=p["rank"], reg=p["reg"], alpha=p["alpha"], max_iter=5)
+        rows = test.select("user", "item", F.lit(True).alias("pos")).unionByName(neg.withColumn("pos", F.lit(False)))
+        auc = REC.auc_by_group(model.transform(rows), ["user"], "prediction", "pos").agg(F.avg("auc"), F.count("auc")).first()
+        mean, users = got[p["rank"], p["reg"], p["alpha"]]
+        assert abs(mean - auc[0]) < 0.01 and users == auc[1]
+
+
 def test_top_items_and_users_of_a_subset(spark):
     from kestrel.ml.jobs import als_implicit
     plays = spark.createDataFrame([(u, i, 5) for u in range(10) for i in range(10) if (u + i) % 2 == 0], "user int, item int, plays int")
