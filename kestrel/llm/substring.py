@@ -15,7 +15,8 @@ holds an anchor, and equal windows hold the same one.
    repeats (spans of words, at least ``window`` long); their words go.
 
 Only documents with a shared anchor are read again.  Text moves through one
-shuffle as compressed bytes.
+shuffle as compressed bytes.  A task settles ``FLUSH`` rows at once, however
+long its input is, and holds no more of them.
 """
 
 from __future__ import annotations
@@ -29,11 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import emit, gathered, group_starts, source, stored, width
-from .words import Words, chunks, mix, shingle_hashes, signed, split_words, window_hashes
+from .tables import emit, gathered, group_starts, source, stored, tidy, width
+from .words import CHUNK, Words, chunks, mix, shingle_hashes, signed, split_words, window_hashes
 
 WINDOW = 50
 SEED = 25
+FLUSH = 1 << 18          # anchors or windows that a task settles at once, those of one text chunk more at most
+PER_TASK = 1 << 19       # rows a task gets by the shuffles, about
 _NULL_ID = np.iinfo(np.int64).max
 
 
@@ -69,6 +72,7 @@ def _text_table(column: pa.Array, lo: int, hi: int) -> pa.Array:
 
 def _whole(window: int, k: int):
     """Of every document: id, row key, words, digest of all words."""
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi, buf, offset in chunks(b.column(1)):
@@ -95,10 +99,11 @@ def _sha(words: Words, r: int, keep: np.ndarray | None = None) -> str:
 
 
 def _anchor_rows(window: int, k: int):
-    """(anchor, doc, settled): per task one unsettled row of each anchor; if a
-    task has several documents with it, the others' rows come settled."""
+    """(anchor, doc, settled): per ``FLUSH`` rows of a task one unsettled row of
+    each anchor; if several documents in them have it, the others' rows come settled."""
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, docs = [], []
+        keys, docs, held = [], [], 0
         for b in batches:
             ids = _ids(b.column(0))
             for lo, hi, buf, offset in chunks(b.column(1)):
@@ -106,6 +111,10 @@ def _anchor_rows(window: int, k: int):
                 value, at = anchors(words, words.hashes(), window, k)
                 keys.append(signed(value))
                 docs.append(ids[lo:hi][words.row[at]])
+                held += len(at)
+                if held >= FLUSH:
+                    yield from _first_and_rest(np.concatenate(keys), np.concatenate(docs), True)
+                    keys, docs, held = [], [], 0
         if keys:
             yield from _first_and_rest(np.concatenate(keys), np.concatenate(docs), True)
     return run
@@ -122,6 +131,7 @@ def _first_and_rest(key: np.ndarray, doc: np.ndarray, both: bool) -> Iterator[pa
     yield from emit(["key", "doc", "settled", "many"], [key, doc, ~head, many & head])
 
 
+@tidy
 def _shared_anchors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc, key) for every anchor in more than one document; a partition holds
     all unsettled rows of its anchors."""
@@ -138,17 +148,28 @@ def _shared_anchors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     yield from emit(["doc", "key"], [doc[hit], key[hit]])
 
 
+def _unpacked(b: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """As ``chunks``, of the texts of a batch that ``_pack`` made."""
+    packed, size = b.column("packed"), b.column("size").to_numpy(zero_copy_only=False)
+    offset = np.concatenate((np.zeros(1, np.int64), np.cumsum(size)))
+    lo = 0
+    while lo < len(size):
+        hi = max(lo + 1, int(np.searchsorted(offset, offset[lo] + CHUNK, "right")) - 1)
+        raw = b"".join([pa.decompress(packed[i].as_py(), int(size[i]), "zstd", asbytes=True) for i in range(lo, hi)])
+        yield lo, hi, np.frombuffer(raw, np.uint8), offset[lo:hi + 1] - offset[lo]
+        lo = hi
+
+
 def _extend(window: int, k: int):
     """(window, doc, start word) of the extensions of the shared anchors of each
-    document: per task the earliest document's row, the others settled."""
+    document: per ``FLUSH`` rows of a task the earliest document's, the others settled."""
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, docs, starts = [], [], []
+        keys, docs, starts, held = [], [], [], 0
         for b in batches:
             ids = _ids(b.column("doc_id"))
-            texts = pa.array([pa.decompress(z.as_py(), n.as_py(), "zstd", asbytes=True).decode()
-                              for z, n in zip(b.column("packed"), b.column("size"))], pa.string())
             seeds, tags = b.column("seeds"), b.column("tag").to_numpy(zero_copy_only=False)
-            for lo, hi, buf, offset in chunks(texts):
+            for lo, hi, buf, offset in _unpacked(b):
                 words = split_words(buf, offset)
                 h = words.hashes()
                 value, at = anchors(words, h, window, k)
@@ -170,20 +191,27 @@ def _extend(window: int, k: int):
                 keys.append(signed(whole[pick]))
                 docs.append(ids[lo:hi][words.row[begin]])
                 starts.append(begin - words.first[words.row[begin]] + (tags[lo:hi][words.row[begin]] << 32))
-        if not keys:
-            return
-        key, doc, start = np.concatenate(keys), np.concatenate(docs), np.concatenate(starts)
-        order = np.lexsort((start, doc, key))
-        key, doc, start = key[order], doc[order], start[order]
-        head = group_starts(key)
-        at = np.flatnonzero(head)
-        least = np.repeat(doc[at], np.diff(np.append(at, len(key))))
-        later = doc > least
-        # of the earliest document one row per window goes on, its other places ride with their own rows
-        yield from emit(["key", "doc", "start", "settled"], [key, doc, start, later])
+                held += len(begin)
+                if held >= FLUSH:
+                    yield from _earliest(np.concatenate(keys), np.concatenate(docs), np.concatenate(starts))
+                    keys, docs, starts, held = [], [], [], 0
+        if keys:
+            yield from _earliest(np.concatenate(keys), np.concatenate(docs), np.concatenate(starts))
     return run
 
 
+def _earliest(key: np.ndarray, doc: np.ndarray, start: np.ndarray) -> Iterator[pa.RecordBatch]:
+    order = np.lexsort((start, doc, key))
+    key, doc, start = key[order], doc[order], start[order]
+    head = group_starts(key)
+    at = np.flatnonzero(head)
+    least = np.repeat(doc[at], np.diff(np.append(at, len(key))))
+    later = doc > least
+    # of the earliest document one row per window goes on, its other places ride with their own rows
+    yield from emit(["key", "doc", "start", "settled"], [key, doc, start, later])
+
+
+@tidy
 def _repeats(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc, start) of the windows that an earlier document has too."""
     key, doc, start, settled = gathered(batches, ["key", "doc", "start", "settled"])
@@ -198,6 +226,7 @@ def _repeats(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from emit(["doc", "start"], [doc[later], start[later]])
 
 
+@tidy
 def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts as compressed bytes, for the shuffle."""
     for b in batches:
@@ -222,21 +251,22 @@ def merge_windows(starts: np.ndarray, window: int) -> list[tuple[int, int]]:
 
 
 def _cut(window: int):
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for doc, z, n, starts in zip(b.column("doc_id"), b.column("packed"), b.column("size"),
-                                         b.column("starts")):
-                raw = np.frombuffer(pa.decompress(z.as_py(), n.as_py(), "zstd", asbytes=True), np.uint8)
-                words = split_words(raw, np.array([0, len(raw)]))
-                spans = merge_windows(starts.values.to_numpy(), window)
-                keep = np.ones(len(words.start), bool)
-                for s, e in spans:
-                    keep[s:e] = False
-                text = b" ".join([raw[words.start[i]:words.end[i]].tobytes() for i in np.flatnonzero(keep)]).decode()
-                rows.append((doc.as_py(), len(keep), int((~keep).sum()), _sha(words, 0), text,
-                             [{"first": s, "end": e} for s, e in spans]))
-            if rows:
+            docs, starts = b.column("doc_id"), b.column("starts")
+            for lo, hi, buf, offset in _unpacked(b):
+                words = split_words(buf, offset)
+                rows = []
+                for r in range(hi - lo):
+                    first = words.first[r]
+                    spans = merge_windows(starts[lo + r].values.to_numpy(), window)
+                    keep = np.ones(words.first[r + 1] - first, bool)
+                    for s, e in spans:
+                        keep[s:e] = False
+                    text = b" ".join([buf[words.start[i]:words.end[i]].tobytes() for i in first + np.flatnonzero(keep)]).decode()
+                    rows.append((docs[lo + r].as_py(), len(keep), int((~keep).sum()), _sha(words, r), text,
+                                 [{"first": s, "end": e} for s, e in spans]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), (
                         pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(),
@@ -255,14 +285,14 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     n_rows = src.select(F.sum(F.octet_length("text"))).first()[0] or 0
     spread = F.when(F.col("settled"), F.xxhash64("key", "doc")).otherwise(F.col("key"))
     seeds = (src.mapInArrow(_anchor_rows(window, k), "key long, doc long, settled boolean, many boolean")
-             .repartition(width(spark, n_rows / 60), spread)
+             .repartition(width(spark, n_rows / 60, PER_TASK), spread)
              .mapInArrow(_shared_anchors, "doc long, key long")
              .groupBy("doc").agg(F.collect_list("key").alias("seeds")))
     packed = src.mapInArrow(_pack, "doc_id long, packed binary, size long, tag long")
     again = stored(packed.join(seeds, F.coalesce("doc_id", F.lit(_NULL_ID)) == F.col("doc"))
                    .select("doc_id", "packed", "size", "tag", "seeds"), "passage-texts")
     found = (again.mapInArrow(_extend(window, k), "key long, doc long, start long, settled boolean")
-             .repartition(width(spark, n_rows / 30), spread)
+             .repartition(width(spark, n_rows / 30, PER_TASK), spread)
              .mapInArrow(_repeats, "doc long, start long")
              .withColumn("of", F.shiftright("start", 32))
              .groupBy("doc", "of").agg(F.collect_list(F.expr("start & 4294967295")).alias("starts")))

@@ -154,6 +154,50 @@ def test_passages(docs, rows, empty):
     assert substring.digest(empty).count() == 0
 
 
+def _packed_texts(texts):
+    """One batch for every few texts, with all their anchors as seeds."""
+    for lo in range(0, len(texts), 4):
+        col = pa.array(texts[lo:lo + 4])
+        part, = substring._pack([pa.RecordBatch.from_arrays([pa.array(range(lo, lo + len(col)), pa.int64()), col], ["doc_id", "text"])])
+        w = words.split_words(*words.text_bytes(col))
+        value, at = substring.anchors(w, w.hashes(), 50, 25)
+        seeds = [words.signed(value[w.row[at] == r]).tolist() for r in range(len(col))]
+        yield pa.RecordBatch.from_arrays([*part.columns, pa.array(seeds, pa.list_(pa.int64()))], [*part.schema.names, "seeds"])
+
+
+def test_passages_of_a_long_task_go_out_as_it_reads(monkeypatch):
+    rng = np.random.default_rng(6)
+    text = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 1 << 30, n))                    # noqa: E731
+    for n, task, batches in ((12_000, substring._extend, lambda t: _packed_texts(t)),
+                             (160_000, substring._anchor_rows, lambda t: (pa.RecordBatch.from_arrays(
+                                 [pa.array([i], pa.int64()), pa.array([x])], ["doc_id", "text"]) for i, x in enumerate(t)))):
+        texts, seen, first, most = [text(n) for _ in range(40)], 0, None, 0
+
+        def read():
+            nonlocal seen
+            for b in batches(texts):
+                seen += b.num_rows
+                yield b
+
+        for out in task(50, 25)(read()):
+            first, most = first or seen, max(most, out.num_rows)
+        assert first < 40 and seen == 40
+
+    # the same windows are found, whatever is settled at once
+    part = text(90)
+    texts = [f"{text(30)} {part} {text(20 * i)} {part if i % 3 else ''}" for i in range(30)]
+    found = []
+    for rows in (1 << 40, 1, 100):
+        monkeypatch.setattr(substring, "FLUSH", rows, raising=False)
+        out = list(substring._extend(50, 25)(_packed_texts(texts)))
+        rest = substring._repeats(out)
+        found.append(sorted((d, x & 0xFFFFFFFF) for b in rest for d, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist())))
+        keys = substring._shared_anchors(substring._anchor_rows(50, 25)(
+            pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([x])], ["doc_id", "text"]) for i, x in enumerate(texts)))
+        found[-1].append(sorted({x for b in keys for x in zip(b.column(0).to_pylist(), b.column(1).to_pylist())}))
+    assert found[0] == found[1] == found[2] and {d for d, _ in found[0][:-1]} == set(range(1, 30))
+
+
 def test_word_cache_equals_tokenizer():
     """Odd pieces put together at random: ids equal those of the tokenizer on the whole text."""
     import random
