@@ -109,6 +109,22 @@ def test_auc_sweep_reads_the_held_out_rows_once(spark, tmp_path):
         assert abs(mean - auc[0]) < 0.01 and users == auc[1]
 
 
+def test_als_blocks_grow_with_the_ratings(spark, monkeypatch):
+    from kestrel.ml import jobs as ML
+    rand = random.Random(4)
+    plays = [(u, i, rand.randrange(1, 9)) for u in range(60) for i in range(40) if (u + i) % 2 == 0]
+    train = spark.createDataFrame(plays, "user int, item int, plays int")
+    neg = spark.createDataFrame([(u, i) for u in range(60) for i in range(40) if (u + i) % 2], "user int, item int")
+    fit = lambda: ML.als_implicit(train, "user", "item", "plays", rank=3, max_iter=4)          # noqa: E731
+    assert fit().userFactors.rdd.getNumPartitions() == 10
+    monkeypatch.setattr(ML, "BLOCK_RATINGS", 50, raising=False)                                # 1,200 ratings
+    model = fit()
+    assert model.userFactors.rdd.getNumPartitions() == model.itemFactors.rdd.getNumPartitions() == 24
+    assert (model.userFactors.count(), model.itemFactors.count()) == (60, 40)
+    sweep = REC.auc_sweep(train, train, neg, "user", "item", "plays", [{"rank": 3, "reg": 0.01, "alpha": 10.0}]).first()
+    assert 0.9 < sweep.mean_auc <= 1 and sweep.users == 60
+
+
 def test_top_items_and_users_of_a_subset(spark):
     from kestrel.ml.jobs import als_implicit
     plays = spark.createDataFrame([(u, i, 5) for u in range(10) for i in range(10) if (u + i) % 2 == 0], "user int, item int, plays int")
